@@ -27,3 +27,8 @@ def hash_bucket(digest: Column, buckets: int) -> Column:
 def hash_uniform(digest: Column) -> Column:
     """Uniform number in [0, 1)."""
     return _leading_bits(digest) / F.lit(4294967296.0)
+
+
+def hash_integer(digest: Column) -> Column:
+    """Integer of 60 bits."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugework.functions.hashing import hash_bucket, hash_key
+from gaugework.functions.hashing import hash_bucket, hash_integer, hash_key
 from gaugework.operators.ordered import (
     hash_buckets,
     hash_index,
@@ -84,6 +84,6 @@ def draw_with_replacement(df: DataFrame, key: str | list[str], n: int, seed: int
     total = df.agg(F.count(F.lit(1)).alias("__total"))
     draws = df.sparkSession.range(1, n + 1).withColumnRenamed("id", "draw")
     picked = attach_row(draws, total).withColumn(
-        "__want", F.pmod(F.xxhash64(F.col("draw"), F.lit(seed)), F.col("__total")) + 1
+        "__want", hash_integer(hash_key("draw", seed)) % F.col("__total") + 1
     )
     return picked.join(indexed, F.col("__want") == F.col("__pos")).drop("__want", "__pos", "__total")

@@ -7,12 +7,13 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from gaugework.operators.cumulative import running_sums
 from gaugework.operators.summary import first_at_or_below, last_value
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _upper_tail(z: pd.Series) -> pd.Series:
     return z.map(lambda x: 0.5 * math.erfc(x / math.sqrt(2.0)), na_action="ignore")
 

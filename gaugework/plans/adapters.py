@@ -30,7 +30,7 @@ def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("s4"),
         (k % 7 + 1.0).alias("s8"),
         (value + k * 2.0).alias("s9"),
-        (value / (k + 1.0)).alias("s11"),
+        (value / (k + 1.37)).alias("s11"),
         (k / 100.0 + 0.5).alias("s15"),
         (F.col("event_type") == "error").cast("int").alias("label"),
     )
