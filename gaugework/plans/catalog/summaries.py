@@ -347,9 +347,9 @@ def mann_whitney_orders(spark, sf_dir):
 @register(
     "class_weights",
     oracle(
-        f"""SELECT event_id, label, {r("t / (k * n)")} AS weight FROM scored
+        f"""SELECT event_id, label, {r("t / (classes * n)")} AS weight FROM scored
 JOIN (SELECT label, count(*) AS n FROM scored GROUP BY 1) USING (label),
-  (SELECT count(*)::DOUBLE AS t, count(DISTINCT label) AS k FROM scored)""",
+  (SELECT count(*)::DOUBLE AS t, count(DISTINCT label) AS classes FROM scored)""",
         "scored",
     ),
 )
@@ -385,11 +385,11 @@ def class_report(spark, sf_dir):
     return tidy(M.class_report(A.scored(spark, sf_dir), "label", "flag"))
 
 
-def auc_sql(score: str, source: str, by: str = "") -> str:
+def auc_sql(score: str, source: str, by: str = "", label: str = "label") -> str:
     part = f"PARTITION BY {by} " if by else ""
-    return f"""SELECT {by + ',' if by else ''} sum(label)::BIGINT AS positives, (count(*) - sum(label))::BIGINT AS negatives,
-  {r("(sum(label * rk) - sum(label) * (sum(label) + 1) / 2) / (sum(label)::DOUBLE * (count(*) - sum(label)))")} AS auc
-FROM (SELECT {by + ',' if by else ''} label, (rank() OVER ({part}ORDER BY {score})
+    return f"""SELECT {by + ',' if by else ''} sum({label})::BIGINT AS positives, (count(*) - sum({label}))::BIGINT AS negatives,
+  {r(f"(sum({label} * rk) - sum({label}) * (sum({label}) + 1) / 2) / (sum({label})::DOUBLE * (count(*) - sum({label})))")} AS auc
+FROM (SELECT {by + ',' if by else ''} {label}, (rank() OVER ({part}ORDER BY {score})
         + (count(*) OVER (PARTITION BY {by + ',' if by else ''} {score}) - 1) / 2.0)::DOUBLE AS rk FROM {source})
 {'GROUP BY ' + by if by else ''}"""
 
@@ -399,7 +399,7 @@ def auc(spark, sf_dir):
     return tidy(M.auc(A.scored(spark, sf_dir), "label", "score"))
 
 
-@register("auc_tied", oracle(auc_sql("k", "scored", "event_type"), "scored").replace("label", "flag"))
+@register("auc_tied", oracle(auc_sql("k", "scored", "event_type", "flag"), "scored"))
 def auc_tied(spark, sf_dir):
     """AUC per group on a score with a hundred values, so nearly every row is tied."""
     df = A.scored(spark, sf_dir).select("event_type", F.col("flag"), "k")

@@ -67,9 +67,14 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: str, defaults: dict[str, object] | None = None) -> DataFrame:
-    """JSON report with a fixed schema; absent fields take their default. Keys of `defaults` are field paths."""
-    raw = spark.read.json(path, schema=schema, multiLine=True)
+def read_report(
+    spark: SparkSession, path: str, schema: str, defaults: dict[str, object] | None = None, multi_line: bool = True
+) -> DataFrame:
+    """JSON report with a fixed schema; absent fields take their default. Keys of `defaults` are field paths.
+
+    `multi_line` is for one pretty-printed document per file, its opposite for what `write_report` stores.
+    """
+    raw = spark.read.json(path, schema=schema, multiLine=multi_line)
     return with_defaults(raw, defaults or {})
 
 
