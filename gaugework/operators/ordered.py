@@ -116,11 +116,11 @@ def over_groups(
     after: int = 0,
     range_on: Column | None = None,
     limit: int = ROWS_PER_SLICE,
-    finish: dict[str, Column] | None = None,
+    finish: list[dict[str, Column]] | None = None,
 ) -> DataFrame:
     """Add the window columns that `build` returns; they may reach `before` rows back and `after` rows ahead.
 
-    Built columns whose names start with `__` feed the row-wise `finish` columns and are dropped after them.
+    Built columns whose names start with `__` feed the row-wise steps of `finish` and are dropped after them.
     """
     limit = max(limit, before, after, 1)
     extra = [] if keys else ["__all"]
@@ -130,7 +130,9 @@ def over_groups(
 
     def run(rows: DataFrame, frame: Frame) -> DataFrame:
         columns = build(frame)
-        out = rows.withColumns(columns).withColumns(finish or {})
+        out = rows.withColumns(columns)
+        for step in finish or []:
+            out = out.withColumns(step)
         return out.drop(*[name for name in columns if name.startswith("__")])
 
     if heavy is None:

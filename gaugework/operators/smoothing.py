@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,24 +30,29 @@ def savgol(
     weights = taps(rows, degree)
     half = rows // 2
 
-    def near(c, k):
-        return F.col(f"__{c}_{k}")
+    def near(c: str, k: int) -> str:
+        return f"`__{c}_{k}`"
 
     def build(frame):
         out = {"__p": frame.pos, "__size": frame.size}
         for c in cols:
-            out.update({f"__{c}_{k}": F.lead(c, k).over(frame.window) for k in range(1 - rows, rows)})
+            out.update({f"__{c}_{k}": F.expr(f"lead(`{c}`, {k})").over(frame.window) for k in range(1 - rows, rows)})
         return out
 
-    def fit(c, i):
-        terms = [F.lit(float(weights[i][j])) * near(c, j - i) for j in range(rows)]
-        return reduce(lambda a, b: a + b, terms)
-
-    finish = {}
-    for c in cols:
-        value = F.when(F.col("__size") < rows, F.col(c).cast("double"))
-        for i in range(half):
-            value = value.when(F.col("__p") == i + 1, fit(c, i))
-            value = value.when(F.col("__size") - F.col("__p") == i, fit(c, rows - 1 - i))
-        finish[c + suffix] = value.otherwise(fit(c, half))
-    return over_groups(df, keys, order, build, before=rows - 1, after=rows - 1, limit=limit, finish=finish)
+    # which point of its window the row is: the middle, or less (more) near the start (end) of the series
+    from_end = F.col("__size") - F.col("__p")
+    point = F.when(F.col("__p") <= half, F.col("__p") - 1).when(from_end < half, rows - 1 - from_end).otherwise(half)
+    table = "array(" + ", ".join("array(" + ", ".join(f"{w!r}D" for w in row) + ")" for row in weights.tolist()) + ")"
+
+    def fit(c: str):
+        middle = " + ".join(f"{w!r}D * {near(c, j - half)}" for j, w in enumerate(weights[half].tolist()))
+        around = ", ".join(f"double({near(c, k)})" for k in range(1 - rows, rows))
+        edge = (
+            f"aggregate(zip_with(slice(array({around}), {rows} - __point, {rows}), element_at({table}, __point + 1), "
+            "(x, w) -> x * w), 0D, (total, term) -> total + term)"
+        )
+        return F.expr(f"CASE WHEN __size < {rows} THEN double(`{c}`) WHEN __point = {half} THEN {middle} ELSE {edge} END")
+
+    finish = [{"__point": point.cast("int")}, {c + suffix: fit(c) for c in cols}]
+    out = over_groups(df, keys, order, build, before=rows - 1, after=rows - 1, limit=limit, finish=finish)
+    return out.drop("__point")

@@ -16,6 +16,8 @@ from gaugework.plans.catalog.features import features
 from gaugework.plans.catalog.registry import register, tidy
 from gaugework.plans.engines import engine_feature_columns
 from gaugework.plans.machines import machine_table, train_and_score
+from gaugework.session import scratch_path
+from gaugework.sources.tables import write_table
 
 # Smaller than the library's defaults (200 trees of depth 15), so that a smoke run stays short; all rows are used.
 SMALL = {"trees": 20, "depth": 5}
@@ -23,7 +25,12 @@ SMALL_LIFE = {"maxIter": 10, "maxDepth": 4}
 
 
 def _machines(spark, sf_dir):
-    return machine_table(A.machine_log(spark, sf_dir))
+    """Stored feature table: a fit reads its rows many times."""
+    return write_table(machine_table(A.machine_log(spark, sf_dir)), scratch_path(spark, "machine-features"))
+
+
+def _engines(spark, sf_dir):
+    return write_table(features(spark, sf_dir), scratch_path(spark, "engine-features"))
 
 
 @register("rf_scores")
@@ -65,7 +72,7 @@ def classifier_report(spark, sf_dir):
 
 
 def _life(spark, sf_dir):
-    split = group_holdout(features(spark, sf_dir), ["dataset_id", "unit"])
+    split = group_holdout(_engines(spark, sf_dir), ["dataset_id", "unit"])
     cols = engine_feature_columns(split)
     model = L.fit_life_regressor(split.filter(~F.col("is_test")), cols, **SMALL_LIFE)
     return L.score_life(model, split), model, cols
@@ -92,7 +99,7 @@ def gbt_importances(spark, sf_dir):
 @register("life_search")
 def life_search(spark, sf_dir):
     """Two trials of the random search over shallow settings."""
-    df = features(spark, sf_dir)
+    df = _engines(spark, sf_dir)
 
     def draw(rng):
         return {"maxIter": rng.randint(2, 4), "maxDepth": rng.randint(2, 3), "stepSize": rng.uniform(0.05, 0.2)}
