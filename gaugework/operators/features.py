@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugework.functions import engine, machine
@@ -86,9 +87,13 @@ def condition_clusters(
     rounded = F.round(F.col(setting).cast("double"), digits)
     key = rounded if only is None else F.when(F.col(dataset).isin(only), rounded)
     keyed = df.withColumn("__key", key)
-    settings = keyed.filter(F.col("__key").isNotNull()).select(dataset, "__key").distinct().withColumn("one", F.lit(1))
-    numbered = running_sums(settings, [dataset], "__key", ["one"])
-    table, _ = sized(numbered.select(dataset, "__key", (F.col("cum_one") - 1).cast("int").alias(name)))
+    settings, found = sized(keyed.filter(F.col("__key").isNotNull()).select(dataset, "__key").distinct())
+    if found <= ROWS_PER_SLICE:
+        number = F.row_number().over(W.partitionBy(dataset).orderBy("__key")) - 1
+    else:  # a setting with hardly any repeats: numbered by value ranges
+        settings = running_sums(settings.withColumn("one", F.lit(1)), [dataset], "__key", ["one"])
+        number = F.col("cum_one") - 1
+    table = settings.select(dataset, "__key", number.cast("int").alias(name))
     return attach(keyed, table, [dataset, "__key"]).fillna(0, subset=[name]).drop("__key")
 
 
@@ -144,8 +149,12 @@ def rolling_features(
     velocity: bool = True,
     trend: bool = True,
     limit: int = ROWS_PER_SLICE,
+    position: str | None = None,
 ) -> DataFrame:
-    """`<c>_velocity` (change since the row before) and `<c>_trend` (mean of `rows` rows, null until full)."""
+    """`<c>_velocity` (change since the row before) and `<c>_trend` (mean of `rows` rows, null until full).
+
+    `position` may name a cycle column without gaps (see `over_groups`).
+    """
 
     def build(frame):
         out = {}
@@ -158,7 +167,7 @@ def rolling_features(
                 out[f"{c}_trend"] = F.when(full, F.avg(c).over(last))
         return out
 
-    return over_groups(df, keys, order or ["cycle"], build, before=max(rows - 1, 1), limit=limit)
+    return over_groups(df, keys, order or ["cycle"], build, before=max(rows - 1, 1), limit=limit, position=position)
 
 
 def engineered_zscore(df: DataFrame, tags: list[str] = engine.ENGINEERED_TAGS) -> DataFrame:

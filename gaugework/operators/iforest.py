@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from gaugework.functions.hashing import hash_key, hash_uniform
 from gaugework.operators.cumulative import quantiles
@@ -61,29 +62,35 @@ class IsolationForest:
     right: np.ndarray
     path: np.ndarray
     norm: float
+    steps: int
     offset: float = field(default=-0.5)
 
     def raw_score(self) -> Column:
         """-2^(-mean depth / expected depth): lower is more unusual."""
-        feature, cut, left, right, path, norm = self.feature, self.cut, self.left, self.right, self.path, self.norm
-        trees = np.arange(feature.shape[0])
-
-        @F.pandas_udf("double")
+        # nodes of all trees in flat arrays; a leaf leads back to itself, so every row takes the same number of steps
+        trees, width = self.feature.shape
+        base = np.arange(trees) * width
+        leaf = self.feature < 0
+        here = np.arange(width)
+        feature = np.maximum(self.feature, 0).ravel()
+        cut = np.where(leaf, np.inf, self.cut).ravel()
+        left = (np.where(leaf, here, self.left) + base[:, None]).ravel()
+        right = (np.where(leaf, here, self.right) + base[:, None]).ravel()
+        path, norm, steps = self.path.ravel(), self.norm, self.steps
+
+        @F.pandas_udf(DoubleType())
         def score(batch: pd.DataFrame) -> pd.Series:
             x = batch.to_numpy(dtype=float)
             out = np.empty(len(x))
-            for start in range(0, len(x), 2048):
-                part = x[start : start + 2048]
-                at = np.zeros((len(part), len(trees)), dtype=np.int64)
-                rows = np.arange(len(part))[:, None]
-                while True:
-                    f = feature[trees, at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    below = part[rows, np.maximum(f, 0)] <= cut[trees, at]
-                    at = np.where(inner, np.where(below, left[trees, at], right[trees, at]), at)
-                out[start : start + 2048] = -(2.0 ** (-path[trees, at].mean(axis=1) / norm))
+            for start in range(0, len(x), 1024):
+                part = x[start : start + 1024]
+                offsets = np.arange(len(part))[:, None] * part.shape[1]
+                flat = part.ravel()
+                at = np.broadcast_to(base, (len(part), trees))
+                for _ in range(steps):
+                    below = flat.take(offsets + feature.take(at)) <= cut.take(at)
+                    at = np.where(below, left.take(at), right.take(at))
+                out[start : start + 1024] = -(2.0 ** (-path.take(at).mean(axis=1) / norm))
             return pd.Series(out)
 
         return score(F.struct(*[F.col(c).cast("double").alias(c) for c in self.cols]))
@@ -143,7 +150,10 @@ def fit_isolation_forest(
         grid("right", 0, np.int64),
         grid("path", 0.0, float),
         average_path(min(sample, rows)) or 1.0,
+        math.ceil(math.log2(max(min(sample, rows), 2))),
     )
-    scores = df.select(forest.raw_score().alias("score"))
+    # the quantile reads the scores several times, so they are kept until it is known
+    scores = df.select(forest.raw_score().alias("score")).persist()
     forest.offset = float(quantiles(scores, ["score"], [contamination]).first()["quantile"])
+    scores.unpersist()
     return forest

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gaugework.functions.hashing import hash_bucket, hash_key
 from gaugework.operators.sizing import attach, sized
 
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 200_000
 
 
 def range_buckets(spark: SparkSession) -> int:
@@ -60,6 +60,7 @@ def heavy_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None
 
 
 def _before(col: str, by: list[str], order: str) -> Column:
+    """Sum over the earlier buckets; it runs on bucket tables, whose size does not depend on the rows."""
     w = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum(col).over(w), F.lit(0))
 
@@ -104,7 +105,7 @@ class Frame:
 
     window: WindowSpec
     pos: Column
-    size: Column
+    size: Column | None
 
 
 def over_groups(
@@ -117,9 +118,12 @@ def over_groups(
     range_on: Column | None = None,
     limit: int = ROWS_PER_SLICE,
     finish: list[dict[str, Column]] | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Add the window columns that `build` returns; they may reach `before` rows back and `after` rows ahead.
 
+    `position` names a column that already counts the rows of each group 1..n: groups are then cut by it straight
+    away, with no pass to find the large ones (and `Frame.size` is not available).
     Built columns whose names start with `__` feed the row-wise steps of `finish` and are dropped after them.
     """
     limit = max(limit, before, after, 1)
@@ -139,7 +143,10 @@ def over_groups(
         w = W.partitionBy(*keys).orderBy(*order)
         size = F.count(F.lit(1)).over(W.partitionBy(*keys))
         return run(work, Frame(w, F.row_number().over(w), size)).drop(*extra)
-    indexed = _index(work, keys, order, heavy, F.col(order[0]) if range_on is None else range_on, "__pos")
+    if position is None:
+        indexed = _index(work, keys, order, heavy, F.col(order[0]) if range_on is None else range_on, "__pos")
+    else:
+        indexed = work.withColumn("__pos", F.col(position))
     indexed = attach(indexed, heavy, keys)
     cut = F.col("__n").isNotNull()
     home = F.when(cut, F.floor((F.col("__pos") - 1) / F.lit(limit))).otherwise(F.lit(0)).cast("long")
@@ -151,7 +158,7 @@ def over_groups(
     )
     sliced = indexed.withColumn("__home", home).withColumn("__slice", F.explode(F.array_compact(slices)))
     parts = [*keys, "__slice"]
-    size = F.coalesce(F.col("__n"), F.count(F.lit(1)).over(W.partitionBy(*parts)))
+    size = None if position else F.coalesce(F.col("__n"), F.count(F.lit(1)).over(W.partitionBy(*parts)))
     return run(sliced, Frame(W.partitionBy(*parts).orderBy(*order), F.col("__pos"), size)).filter(
         F.col("__slice") == F.col("__home")
     ).drop("__pos", "__n", "__home", "__slice", *extra)

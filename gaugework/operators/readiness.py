@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 # Fixed thresholds: check -> (metric, comparison, bound).
 GATES = {
-    "nasa_r2_above_0.7": ("r2", ">=", 0.7),
-    "nasa_rmse_below_25": ("rmse", "<", 25.0),
-    "ai4i_f1_above_0.6": ("f1", ">=", 0.6),
-    "ai4i_precision_above_0.8": ("precision", ">=", 0.8),
-    "simulation_significant": ("significant", ">=", 1.0),
+    "r2_above_0.7": ("r2", ">=", 0.7),
+    "rmse_below_25": ("rmse", "<", 25.0),
+    "f1_above_0.6": ("f1", ">=", 0.6),
+    "precision_above_0.8": ("precision", ">=", 0.8),
+    "comparison_significant": ("significant", ">=", 1.0),
 }
 
 

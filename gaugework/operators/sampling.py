@@ -70,8 +70,11 @@ def capped_sample(
 
 
 def sample_rows(df: DataFrame, key: str | list[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows: a per-partition top-n, then a merge of the tops."""
-    return df.orderBy(hash_key(key, seed)).limit(n)
+    """Exactly min(n, rows) rows; the table is not shuffled (see `mark_first`)."""
+    digest = hash_key(key, seed)
+    want = F.least(F.lit(n), F.col("__total"))
+    marked = mark_first(df, hash_bucket(digest, hash_buckets(df.sparkSession)), [digest], want, [], "__in")
+    return marked.filter("__in").drop("__in")
 
 
 def one_per_band(df: DataFrame, band: str, key: str | list[str], seed: int = 42) -> DataFrame:
@@ -79,11 +82,13 @@ def one_per_band(df: DataFrame, band: str, key: str | list[str], seed: int = 42)
 
 
 def draw_with_replacement(df: DataFrame, key: str | list[str], n: int, seed: int = 42) -> DataFrame:
-    """`n` draws: each draw hashes to a position and is joined to the row there."""
-    indexed = hash_index(df, key, seed, None, "__pos")
+    """`n` draws: each draw hashes to a position and is joined to the row there. Only keys are put in order."""
+    keys = [key] if isinstance(key, str) else key
+    indexed = hash_index(df.select(*keys), key, seed, None, "__pos")
     total = df.agg(F.count(F.lit(1)).alias("__total"))
     draws = df.sparkSession.range(1, n + 1).withColumnRenamed("id", "draw")
     picked = attach_row(draws, total).withColumn(
         "__want", hash_integer(hash_key("draw", seed)) % F.col("__total") + 1
     )
-    return picked.join(indexed, F.col("__want") == F.col("__pos")).drop("__want", "__pos", "__total")
+    hits = picked.join(indexed, F.col("__want") == F.col("__pos")).select("draw", *keys)
+    return df.join(hits, keys).select("draw", *df.columns)

@@ -14,6 +14,8 @@ from gaugework.operators.summary import fleet_profile
 from gaugework.plans import adapters as A
 from gaugework.plans.catalog.registry import oracle, r, register, tidy
 from gaugework.plans.engines import clean_cycles, engine_features
+from gaugework.session import scratch_path
+from gaugework.sources.tables import write_table
 
 SENSORS = ["s2", "s3", "s4", "s8", "s9", "s11", "s15"]
 ENGINEERED = ["thermal_stress", "pressure_heat_index", "efficiency_proxy", "compressor_delta"] + [
@@ -43,7 +45,9 @@ FEATURE_CTES = {
 
 
 def features(spark, sf_dir):
-    return engine_features(clean_cycles(A.cycles(spark, sf_dir), SENSORS))
+    """Cycles and unscaled features are stored once, as their statistics take several passes over them."""
+    cycles = write_table(A.cycles(spark, sf_dir), scratch_path(spark, "cycles"))
+    return engine_features(clean_cycles(cycles, SENSORS), store=scratch_path(spark, "unscaled"), position="cycle")
 
 
 @register(
@@ -456,9 +460,9 @@ def savgol_by_engine(spark, sf_dir):
     ),
 )
 def savgol_series(spark, sf_dir):
-    """The whole table is one series, so it is cut into slices that overlap by the reach of the filter."""
+    """The whole table is one series; beyond the slice size it is cut into slices that overlap by the filter's reach."""
     clean = X.clean_machines(A.machine_log(spark, sf_dir)).select("UDI", "power_w", "torque")
-    df = savgol(clean, ["power_w", "torque"], [], ["UDI"], limit=5000)
+    df = savgol(clean, ["power_w", "torque"], [], ["UDI"])
     return tidy(df.select("UDI", "power_w_smooth", "torque_smooth"), 4)
 
 

@@ -284,11 +284,11 @@ FROM (SELECT count(*) FILTER (label = 1 AND flag = 1) AS tp, count(*) FILTER (la
    FROM (SELECT sum(a) AS na, sum(n) - sum(a) AS nb, sum(a * rk) - sum(a) * (sum(a) + 1) / 2 AS u, sum(n * n * n - n) AS ties
          FROM (SELECT a, n, sum(n) OVER (ORDER BY lifetime) - n + (n + 1) / 2 AS rk
                FROM (SELECT lifetime, count(*) FILTER (fleet = 'managed')::DOUBLE AS a, count(*)::DOUBLE AS n FROM lifetimes GROUP BY 1))))""",
-    "checks": """SELECT 'nasa_r2_above_0.7' AS "check", 'r2' AS metric, r2 AS value, r2 >= 0.7 AS passed FROM m
-UNION ALL SELECT 'nasa_rmse_below_25', 'rmse', rmse, rmse < 25 FROM m
-UNION ALL SELECT 'ai4i_f1_above_0.6', 'f1', f1, f1 >= 0.6 FROM m
-UNION ALL SELECT 'ai4i_precision_above_0.8', 'precision', "precision", "precision" >= 0.8 FROM m
-UNION ALL SELECT 'simulation_significant', 'significant', sig::INT::DOUBLE, sig FROM m""",
+    "checks": """SELECT 'r2_above_0.7' AS "check", 'r2' AS metric, r2 AS value, r2 >= 0.7 AS passed FROM m
+UNION ALL SELECT 'rmse_below_25', 'rmse', rmse, rmse < 25 FROM m
+UNION ALL SELECT 'f1_above_0.6', 'f1', f1, f1 >= 0.6 FROM m
+UNION ALL SELECT 'precision_above_0.8', 'precision', "precision", "precision" >= 0.8 FROM m
+UNION ALL SELECT 'comparison_significant', 'significant', sig::INT::DOUBLE, sig FROM m""",
 }
 
 

@@ -38,6 +38,13 @@ def test_cut_groups_give_the_same_windows(hot, limit):
     assert str(rounded(cut, "x_velocity", "x_trend")) == str(rounded(whole, "x_velocity", "x_trend"))
 
 
+@pytest.mark.parametrize("limit", [10, 37, 10_000])
+def test_a_known_position_gives_the_same_windows(hot, limit):
+    whole = X.rolling_features(hot, ["x"], ["unit"])
+    known = X.rolling_features(group_index(hot, ["unit"], ["cycle"]), ["x"], ["unit"], limit=limit, position="pos")
+    assert str(rounded(known, "x_velocity", "x_trend")) == str(rounded(whole, "x_velocity", "x_trend"))
+
+
 @pytest.mark.parametrize("limit", [10, 64])
 def test_cut_groups_give_the_same_smoothing(hot, limit):
     whole, cut = savgol(hot, ["x"], ["unit"], ["cycle"]), savgol(hot, ["x"], ["unit"], ["cycle"], limit=limit)
