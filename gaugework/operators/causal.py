@@ -8,6 +8,7 @@ rows are read once and nothing but one row per group is shuffled.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugework.functions.hashing import hash_key, hash_uniform
@@ -104,10 +105,10 @@ def placebo_effects(
     placed = hash_index(rows, key, seed, None, "__i")
     total = rows.agg(F.count(F.lit(1)).alias("__total"))
     # rows past the end repeat the first ones, so that every row has `reps` followers
-    first = attach_row(placed.filter(F.col("__i") <= reps), total).withColumn("__i", F.col("__i") + F.col("__total"))
-    ring = placed.withColumn("__real", F.lit(True)).unionByName(
-        first.drop("__total").withColumn("__real", F.lit(False))
-    )
+    head = rows.withColumn("__h", hash_key(key, seed)).orderBy("__h").limit(reps)
+    past = F.row_number().over(W.orderBy("__h")) + F.col("__total")
+    again = attach_row(head, total).withColumn("__i", past.cast("long")).drop("__h", "__total")
+    ring = placed.withColumn("__real", F.lit(True)).unionByName(again.withColumn("__real", F.lit(False)))
 
     def build(frame):
         return {f"placebo_{r}": F.lead(treatment, r).over(frame.window) for r in range(1, reps + 1)}
@@ -122,19 +123,21 @@ def _repeated_effects(df: DataFrame, fakes: list[str], outcome: str, confounders
     exprs = [*_cov_exprs(shared)]
     for fake in fakes:
         exprs += [F.covar_pop(fake, c).alias(_cov(fake, c)) for c in [fake, *shared]]
-    sums = df.agg(*exprs)
-    each = [
-        sums.select(
-            F.lit(i + 1).alias("rep"),
-            *[F.col(_cov(a, b)) for a, b in _pairs(shared)],
-            *[F.col(_cov(fake, c)).alias(_cov("t", c if c != fake else "t")) for c in [fake, *shared]],
+    stacked = _one_row_per_rep(df.agg(*exprs), fakes, "t", shared)
+    return _sweep(stacked, ["t", *shared], confounders, "t", outcome, "effect").select("rep", "effect")
+
+
+def _one_row_per_rep(sums: DataFrame, names: list[str], alias: str, shared: list[str]) -> DataFrame:
+    """Covariances of each repetition's own column, renamed to `alias`, next to those all repetitions share."""
+    reps = [
+        F.struct(
+            F.lit(i).alias("rep"),
+            F.col(_cov(name, name)).alias(_cov(alias, alias)),
+            *[F.col(_cov(name, c)).alias(_cov(alias, c)) for c in shared],
         )
-        for i, fake in enumerate(fakes)
+        for i, name in enumerate(names, 1)
     ]
-    stacked = each[0]
-    for part in each[1:]:
-        stacked = stacked.unionByName(part)
-    return _sweep(stacked, ["t", *shared], confounders, "t", outcome, "effect").select("rep", "effect")
+    return sums.select(*[F.col(_cov(a, b)) for a, b in _pairs(shared)], F.inline(F.array(*reps)))
 
 
 def random_cause_effects(
@@ -148,15 +151,7 @@ def random_cause_effects(
     exprs = [*_cov_exprs(cols)]
     for n in noise:
         exprs += [F.covar_pop(n, c).alias(_cov(n, c)) for c in [n, *cols]]
-    sums = noisy.agg(*exprs)
-    stacked = None
-    for i, n in enumerate(noise, 1):
-        part = sums.select(
-            F.lit(i).alias("rep"),
-            *[F.col(_cov(a, b)) for a, b in _pairs(cols)],
-            *[F.col(_cov(n, c)).alias(_cov("noise", c if c != n else "noise")) for c in [n, *cols]],
-        )
-        stacked = part if stacked is None else stacked.unionByName(part)
+    stacked = _one_row_per_rep(noisy.agg(*exprs), noise, "noise", cols)
     swept = _sweep(stacked, [*cols, "noise"], [*confounders, "noise"], treatment, outcome, "effect")
     return swept.select("rep", "effect")
 

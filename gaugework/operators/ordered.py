@@ -130,7 +130,6 @@ def over_groups(
     extra = [] if keys else ["__all"]
     work = df if keys else df.withColumn("__all", F.lit(0))
     keys = keys or extra
-    heavy = heavy_groups(work, keys, limit)
 
     def run(rows: DataFrame, frame: Frame) -> DataFrame:
         columns = build(frame)
@@ -139,16 +138,18 @@ def over_groups(
             out = out.withColumns(step)
         return out.drop(*[name for name in columns if name.startswith("__")])
 
-    if heavy is None:
-        w = W.partitionBy(*keys).orderBy(*order)
-        size = F.count(F.lit(1)).over(W.partitionBy(*keys))
-        return run(work, Frame(w, F.row_number().over(w), size)).drop(*extra)
-    if position is None:
-        indexed = _index(work, keys, order, heavy, F.col(order[0]) if range_on is None else range_on, "__pos")
+    if position is not None:
+        indexed = work.withColumns({"__pos": F.col(position).cast("long"), "__n": F.lit(None).cast("long")})
+        cut = F.lit(True)
     else:
-        indexed = work.withColumn("__pos", F.col(position))
-    indexed = attach(indexed, heavy, keys)
-    cut = F.col("__n").isNotNull()
+        heavy = heavy_groups(work, keys, limit)
+        if heavy is None:
+            w = W.partitionBy(*keys).orderBy(*order)
+            size = F.count(F.lit(1)).over(W.partitionBy(*keys))
+            return run(work, Frame(w, F.row_number().over(w), size)).drop(*extra)
+        range_on = F.col(order[0]) if range_on is None else range_on
+        indexed = attach(_index(work, keys, order, heavy, range_on, "__pos"), heavy, keys)
+        cut = F.col("__n").isNotNull()
     home = F.when(cut, F.floor((F.col("__pos") - 1) / F.lit(limit))).otherwise(F.lit(0)).cast("long")
     inside = F.pmod(F.col("__pos") - 1, F.lit(limit))
     slices = F.array(

@@ -32,6 +32,8 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "gauge
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # no call sites in error messages: noting them costs more than the rest of building an expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
     for key, value in ADAPTIVE.items():
