@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from gaugework.operators.cumulative import running_sums
+from gaugework.operators.sizing import sized
 from gaugework.operators.summary import first_at_or_below, last_value
 
 
@@ -26,6 +27,7 @@ def survival_curve(df: DataFrame, group: str, lifetime: str = "lifetime", censor
     ends = df.groupBy(group, F.col(lifetime).alias("cycle")).agg(
         F.count(F.lit(1)).alias("ended"), F.sum(F.col(censored).cast("long")).alias("kept")
     )
+    ends, _ = sized(ends)  # one row per distinct lifetime, read for the grid, its end and the counts
     last = ends.agg(F.max("cycle").alias("__last"))
     grid = ends.select(group).distinct().crossJoin(F.broadcast(last))
     zeros = grid.select(

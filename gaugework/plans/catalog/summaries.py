@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugework.functions.machine import MODE_COLUMNS
+from gaugework.functions.machine import MODE_COLUMNS, power_w
 from gaugework.operators import features as X
 from gaugework.operators import metrics as M
-from gaugework.operators import recommend as R
 from gaugework.operators import sampling as P
 from gaugework.operators import summary as S
 from gaugework.operators import survival as V
+from gaugework.operators.columns import clip
 from gaugework.operators.cumulative import quantiles
 from gaugework.plans import adapters as A
 from gaugework.plans.catalog.registry import oracle, r, register, tidy
+from gaugework.session import scratch_path
+from gaugework.sources.tables import write_table
 
 
 def _log(spark, sf_dir):
@@ -224,8 +226,6 @@ FROM (SELECT * FROM ("""
     ),
 )
 def importance_report(spark, sf_dir):
-    from gaugework.functions.machine import power_w
-
     df = A.machines(spark, sf_dir).withColumn("power_w", power_w())
     strength = df.agg(*[F.abs(F.corr(c, "failure")).alias(c) for c in FACTORS])
     table = strength.unpivot([], FACTORS, "feature", "importance")
@@ -415,8 +415,6 @@ REGRESSION = f"""count(*) AS "rows", {r("sqrt(avg((y - p) ** 2))")} AS rmse, {r(
     oracle(f"SELECT {REGRESSION} FROM (SELECT value AS y, least(k * 3, 125) AS p FROM scored)", "scored"),
 )
 def regression_metrics(spark, sf_dir):
-    from gaugework.operators.columns import clip
-
     df = A.scored(spark, sf_dir).withColumn("p", clip(F.col("k") * 3, 0.0, 125.0))
     return tidy(M.regression_metrics(df, "value", "p"))
 
@@ -455,6 +453,7 @@ def fold_f1(spark, sf_dir):
 def model_report(spark, sf_dir):
     """Train against test: confusion, AUC and regression errors on given predictions."""
     df = P.holdout(A.scored(spark, sf_dir).withColumn("p", F.col("k") * 3), "event_id", 0.2, ["label"])
+    df = write_table(df, scratch_path(spark, "split"))
     cells = M.confusion(df, "label", "flag", ["is_test"])
     curve = M.auc(df, "label", "score", ["is_test"])
     errors = M.regression_metrics(df, "value", "p", ["is_test"]).drop("rows")
