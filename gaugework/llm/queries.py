@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugework.llm.common import documents
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
+from gaugework.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +25,9 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = repetition(documents(spark, sf_dir).select("doc_id", "text"))
     names = [*COUNTS, *(f"dup_{n}gram_chars" for n in LENGTHS), "base_failed", "kept"]
     return measured.select("doc_id", *(F.col(f"quality.{name}").alias(name) for name in names))
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), shingle=3, most=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
