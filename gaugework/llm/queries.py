@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugework.llm import pii
 from gaugework.llm.common import documents
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
 from gaugework.llm.simhash import near_duplicates
@@ -31,3 +32,11 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), shingle=3, most=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base = found.select("doc_id", *(pii.count_of(k).alias(f"n_{k}") for k in pii.BASE), pii.named("base_spans").alias("base"), pii.named("spans").alias("spans"))
+    return base.select("doc_id", *(f"n_{k}" for k in pii.BASE), F.sha2("base", 256).alias("base_sha256"), "spans")
