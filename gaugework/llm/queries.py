@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugework.llm import pii
 from gaugework.llm.common import documents
+from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
 from gaugework.llm.simhash import near_duplicates
 
@@ -40,3 +41,41 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.fit(docs))
     base = found.select("doc_id", *(pii.count_of(k).alias(f"n_{k}") for k in pii.BASE), pii.named("base_spans").alias("base"), pii.named("spans").alias("spans"))
     return base.select("doc_id", *(f"n_{k}" for k in pii.BASE), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+# Target weights of the mix: four domains of sources, then languages, then sources alike.
+DOMAIN_WEIGHTS = {"domain0": 4.0, "domain1": 3.0, "domain2": 2.0, "domain3": 1.0}
+LANGUAGE_WEIGHTS = {"en": 5.0, "de": 2.0, "fr": 2.0, "es": 1.0}
+MIX = {"share": 0.5, "epochs": 2.0, "seed": 17}
+
+
+def with_domain(docs: DataFrame, name: str = "domain") -> DataFrame:
+    """Sources are dealt to the four domains by the number in their name; without one to domain0."""
+    number = F.coalesce(F.try_to_number(F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,9})$", 1), F.lit("999999999")), F.lit(0))
+    return docs.withColumn(name, F.concat(F.lit("domain"), (number % 4).cast("int").cast("string")))
+
+
+def weight_tables(spark: SparkSession, domain: str = "domain") -> dict[str, DataFrame]:
+    return {
+        domain: spark.createDataFrame(list(DOMAIN_WEIGHTS.items()), f"{domain} string, weight double"),
+        "lang": spark.createDataFrame(list(LANGUAGE_WEIGHTS.items()), "lang string, weight double"),
+    }
+
+
+@query
+def op8_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    levels = ["domain", "lang", "source"]
+    mixed = mix(docs, levels, MIX["share"], weight_tables(spark), MIX["epochs"], MIX["seed"])
+    return mixed.select("doc_id", *levels, "tokens", "epochs")
+
+
+ORACLES["op8_hierarchical_mix"] = mix_sql(
+    """SELECT doc_id, lang, source, 'domain' || (coalesce(try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) AS INT), 0) % 4) AS domain,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents""",
+    ["domain", "lang", "source"],
+    {"domain": DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS},
+    MIX["share"],
+    MIX["epochs"],
+    MIX["seed"],
+)
