@@ -1,8 +1,9 @@
 """Token ids of whole texts by a tokenizers file, with the ids of chunks remembered.
 
-A single space before a visible character always begins a new piece of a byte-level BPE, so a text is the sum of its
-chunks between such spaces. Texts in which that is not sure (a space inside or at the end of longer white space) and texts
-with the string of a special token are encoded whole.
+A single space before a visible character always begins a new piece of a byte-level BPE, and so does a sign after letters;
+a text is therefore the sum of its chunks between such spaces, and a chunk that ends in one sign the sum of its letters and
+the sign. Texts in which the chunks are not sure (a space inside or at the end of longer white space) and texts with the
+string of a special token are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,21 +13,25 @@ import re
 
 import numpy as np
 
-CHUNKS = 150_000
-LONGEST_CHUNK = 64
+CHUNKS = 400_000
+LONGEST = 64
+_SIGNS = frozenset(".,;:!?%&*#$")
 _UNSURE = re.compile(r"\s (?:\s|\Z)|<\|")
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-class ChunkEncoder:
-    """Encodes lists of texts. Of the chunks met, the last CHUNKS to twice CHUNKS different ones are remembered."""
+class Encoder:
+    """Encodes lists of texts; remembers the last CHUNKS to twice CHUNKS different chunks that followed a space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, chunks: int = CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.signs = {s: self.whole([s])[0] for s in _SIGNS}
+        self.most = chunks
         self.recent: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -34,50 +39,70 @@ class ChunkEncoder:
         """Without memory: little-endian unsigned 32-bit ids of each text."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _lines(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters after a space: encoded as the lines of one text and cut at the line breaks."""
+        if not words:
+            return []
+        text = " " + "\n ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.append(np.flatnonzero(ids == self.line_break), len(ids)) * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)]
+
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of all the chunks."""
-        known = self.recent
-        new = chunks.difference(known)
-        if new:
-            if len(known) + len(new) > CHUNKS:
-                self.before, self.recent = known, {}
-                known, new = {}, chunks
-            old = self.before
-            again = {c: old[c] for c in new.intersection(old)}
-            new = list(new.difference(again))
-            known.update(again)
-            known.update(zip(new, self.whole(new), strict=True))
-            self.recent = known
-        return known
+        """Ids of chunks that are not in `recent`, which takes up all but the longest of them."""
+        before = self.before
+        found = {c: before[c] for c in chunks.intersection(before)}
+        words: set[str] = set()
+        signed, others = [], []
+        for c in chunks.difference(found):
+            if c.isalpha():
+                words.add(c)
+            elif c[-1:] in _SIGNS and c[:-1].isalpha():
+                signed.append(c)
+                if c[:-1] not in self.recent:
+                    words.add(c[:-1])
+            else:
+                others.append(c)
+        listed = list(words)
+        found.update(zip(listed, self._lines(listed), strict=True))
+        for c in signed:
+            found[c] = (found.get(c[:-1]) or self.recent[c[:-1]]) + self.signs[c[-1]]
+        found.update(zip(others, self.whole([" " + c for c in others]), strict=True))
+        if len(self.recent) + len(found) > self.most:
+            self.before, self.recent = self.recent, {}
+        self.recent.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
+        return found
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each whole text; none of a null or empty one."""
+        """Of each whole text; none of a null or empty one."""
         out: list[bytes] = [b""] * len(texts)
-        split: dict[int, list[str]] = {}
+        late: dict[int, tuple[list[str], list[bytes | None]]] = {}
+        missing: set[str] = set()
+        known = self.recent.get
         for i, text in enumerate(texts):
             if not text:
                 continue
             if _UNSURE.search(text):
                 out[i] = self.whole([text])[0]
                 continue
-            first, *rest = text.split(" ")
-            split[i] = [first, *[" " + chunk for chunk in rest]]
-        chunks: set[str] = set()
-        for parts in split.values():
-            chunks.update(parts)
-        long = {c for c in chunks if len(c) > LONGEST_CHUNK}
-        ids = self._learn(chunks - long)
-        if long:
-            listed = list(long)
-            ids = ids | dict(zip(listed, self.whole(listed), strict=True))
-        look = ids.__getitem__
-        for i, parts in split.items():
-            out[i] = b"".join(map(look, parts))
+            chunks = text.split(" ")
+            ids = list(map(known, chunks))
+            ids[0] = self.whole(chunks[:1])[0]
+            if None in ids:
+                late[i] = chunks, ids
+                missing.update(c for c, x in zip(chunks, ids, strict=True) if x is None)
+            else:
+                out[i] = b"".join(ids)
+        if late:
+            learnt = self._learn(missing)
+            for i, (chunks, ids) in late.items():
+                out[i] = b"".join([learnt[c] if x is None else x for c, x in zip(chunks, ids, strict=True)])
         return out
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> Encoder:
     """One for each worker process and file."""
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
+        _encoders[path] = Encoder(path)
     return _encoders[path]

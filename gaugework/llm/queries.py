@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugework.llm import pii
 from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
+from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
 from gaugework.llm.simhash import near_duplicates
 
@@ -79,3 +80,20 @@ ORACLES["op8_hierarchical_mix"] = mix_sql(
     MIX["epochs"],
     MIX["seed"],
 )
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    pieces = token_pieces(docs, tokenizer_path(), capacity=2048, end_id=0)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(pieces, docs.count(), ["doc_id", "piece", "start", "ids_crc32"], capacity=2048)
