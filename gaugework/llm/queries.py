@@ -12,6 +12,7 @@ from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
+from gaugework.llm.repair import block_starts, round_trip
 from gaugework.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,11 @@ def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(docs, tokenizer_path(), capacity=2048, end_id=0)
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(pieces, docs.count(), ["doc_id", "piece", "start", "ids_crc32"], capacity=2048)
+
+
+@query
+def op4_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, docs = round_trip(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path(), end_id=2)
+    docs = docs.select("doc_id", "part", "block", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    placed = docs.join(block_starts(files), ["part", "block"])
+    return placed.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")

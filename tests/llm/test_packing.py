@@ -90,10 +90,9 @@ def test_bins_against_a_plain_search():
             if free > n:
                 if len(open_bins) == most:
                     fullest = min(open_bins.values())
-                    closed = next(b for b in reversed(bins.by_free[fullest]) if b in open_bins) if bins.by_free[fullest] else None
-                    gone = [b for b, f in open_bins.items() if f == fullest and b not in sum(bins.by_free, [])]
-                    assert len(gone) == 1 and closed != gone[0]
-                    open_bins.pop(gone[0])
+                    still = {b for stack in bins.by_free for b in stack}
+                    closed = [b for b in open_bins if b not in still]
+                    assert [open_bins.pop(b) for b in closed] == [fullest]
                 open_bins[bin_] = free - n
         assert len(open_bins) == bins.open <= most
 
