@@ -14,6 +14,7 @@ from gaugework.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
+SLICE_ROWS = 4096
 PREFIX_GROUP = 4096
 
 
@@ -30,7 +31,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bytes, offsets) of consecutive texts of at most `most` bytes together, or of one longer text; null is empty.
+    """(bytes, offsets) of up to SLICE_ROWS consecutive texts of at most `most` bytes, or of one longer text; null is empty.
 
     Only these slices are worked on at once, so memory follows the longest text and not the batch.
     """
@@ -46,6 +47,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarra
         first = 0
         while first < len(chunk):
             last = max(int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1, first + 1)
+            last = min(last, first + SLICE_ROWS, len(chunk))
             yield raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
             first = last
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugework.llm import pii
 from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
+from gaugework.llm.multiset import fingerprints
 from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
 from gaugework.llm.repair import block_starts, round_trip
@@ -106,3 +107,8 @@ def op4_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.select("doc_id", "part", "block", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     placed = docs.join(block_starts(files), ["part", "block"])
     return placed.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+
+
+@query
+def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
