@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import pii
+from gaugework.llm import pii, toxicity
 from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.multiset import fingerprints
@@ -112,3 +112,11 @@ def op4_re_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op7_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    scored = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.DECISION).cast("int"))
