@@ -8,9 +8,6 @@ from pyspark.sql.window import Window
 
 from gaugework.llm.common import WORD, stored
 
-#: Rows of a leaf that are put in order at once, where the prefix ends.
-ROWS_PER_BUCKET = 50_000
-
 
 def words(text: str) -> Column:
     """Tokens of a text where no other count is given: its words."""
@@ -101,7 +98,6 @@ def mix(
     id: str = "doc_id",
     text: str = "text",
     tokens: Column | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The chosen documents with `tokens` and `epochs`: how many times each is taken to meet the target weights.
 
@@ -111,7 +107,8 @@ def mix(
     the same place in the order (rows with equal ids) are taken together or not at all.
 
     Only the ids and counts are ordered, and only in the one hash bucket of each leaf in which its prefix ends: bucket
-    totals tell the rest. A leaf with a third of all rows is never ordered as a whole. Null level values are a group of
+    totals tell the rest. A leaf of n rows has about sqrt(n) buckets of sqrt(n) rows, so one with a third of all rows is
+    never ordered as a whole. Null level values are a group of
     their own, null ids have one common place; null and empty texts have no tokens and go with their place in the order.
     An empty table, or nothing to deal out, gives no rows. Extra columns pass through; `tokens` and `epochs` are replaced.
     """
@@ -130,7 +127,7 @@ def mix(
     plan = stored(
         plan.withColumn("__whole", F.when(F.col("supply") > 0, F.floor(F.col("budget") / F.col("supply"))).otherwise(0).cast("bigint"))
         .withColumn("__rest", F.col("budget") - F.col("__whole") * F.col("supply"))
-        .withColumn("__buckets", F.ceil(F.col("__rows") / rows_per_bucket).cast("bigint"))
+        .withColumn("__buckets", F.ceil(F.sqrt("__rows")).cast("bigint"))
         .select(*names, "__whole", "__rest", "__buckets"),
         "plan",
     )
