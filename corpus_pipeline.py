@@ -5,20 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gaugework.llm import pii
+from gaugework.llm.mixing import mix
+from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import keep_good
+from gaugework.llm.queries import tokenizer_path, weight_tables, with_domain
+from gaugework.llm.simhash import one_of_each
 from gaugework.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Share of the tokens that the mix takes; each document at most once.
+SHARE, EPOCHS, SEED = 0.8, 1.0, 17
+CAPACITY = 2048
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go."""
     return keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of linked fingerprints: three-word shingles, two bits."""
+    return one_of_each(docs, shingle=3, most=2)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with <kind> in place of each span of personal data."""
+    return pii.redact(docs, pii.fit(docs))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that meet the target weights of domains, languages and sources within SHARE of all words."""
+    domain = "__domain"
+    mixed = mix(with_domain(docs, domain), [domain, "lang", "source"], SHARE, weight_tables(spark, domain), EPOCHS, SEED)
+    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each piece of a document: its tokens' digest and its place in a sequence of CAPACITY tokens."""
+    pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(pieces, docs.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("simhash near-dedup", near_duplicates),
+    ("personal data", personal_data),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
+#: Fingerprints, span models and token ids are beyond SQL; tests/llm/test_pipeline.py checks each stage by brute force.
 ORACLE_SQL = None
 
 
