@@ -1,8 +1,8 @@
 """Token ids of whole texts by a tokenizers file, with the ids of chunks remembered.
 
 A single space before a visible character always begins a new piece of a byte-level BPE, and so does a sign after letters;
-a text is therefore the sum of its chunks between such spaces, and a chunk that ends in one sign the sum of its letters and
-the sign. Texts in which the chunks are not sure (a space inside or at the end of longer white space) and texts with the
+a text is therefore the sum of its chunks between such spaces, and a chunk of letters, one sign or line breaks the sum of
+those. Texts in which the chunks are not sure (a space inside or at the end of longer white space) and texts with the
 string of a special token are encoded whole.
 """
 
@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
-CHUNKS = 400_000
+CHUNKS = 500_000
 LONGEST = 64
 _SIGNS = frozenset(".,;:!?%&*#$")
 _UNSURE = re.compile(r"\s (?:\s|\Z)|<\|")
@@ -30,74 +32,103 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.signs = {s: self.whole([s])[0] for s in _SIGNS}
+        self.signs = {s: self.whole([s])[0] for s in ["\n", *_SIGNS]} | {"": b""}
         self.most = chunks
         self.recent: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Without memory: little-endian unsigned 32-bit ids of each text."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lines(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters after a space: encoded as the lines of one text and cut at the line breaks."""
+    def _lines(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of words of letters after `lead`: encoded as the lines of one text and cut at the line breaks."""
         if not words:
             return []
-        text = " " + "\n ".join(words)
+        text = lead + ("\n" + lead).join(words)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.append(np.flatnonzero(ids == self.line_break), len(ids)) * 4).tolist()
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)]
 
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not in `recent`, which takes up all but the longest of them."""
-        before = self.before
-        found = {c: before[c] for c in chunks.intersection(before)}
+    def _learn(self, chunks: set[str]) -> None:
+        """Puts the ids of chunks that are not in `recent` into it: of letters, of letters and a sign, of two of these with
+        a line break between them, and of any others encoded whole."""
+        before, recent = self.before, self.recent
+        found = {c: before[c] for c in chunks if c in before} if before else {}
         words: set[str] = set()
-        signed, others = [], []
-        for c in chunks.difference(found):
+        starts: set[str] = set()
+        split: list[tuple[str, tuple[str, str, str, str]]] = []
+        others: list[str] = []
+        for c in chunks:
+            if c in found:
+                continue
             if c.isalpha():
                 words.add(c)
-            elif c[-1:] in _SIGNS and c[:-1].isalpha():
-                signed.append(c)
-                if c[:-1] not in self.recent:
-                    words.add(c[:-1])
+                continue
+            left, line, right = c.partition("\n")
+            word, sign = (left[:-1], left[-1:]) if left[-1:] in _SIGNS else (left, "")
+            start, mark = (right[:-1], right[-1:]) if right[-1:] in _SIGNS else (right, "")
+            if word.isalpha() and (start.isalpha() or not line):
+                split.append((c, (word, sign, start, mark)))
+                words.add(word)
+                if line:
+                    starts.add(start)
             else:
                 others.append(c)
-        listed = list(words)
-        found.update(zip(listed, self._lines(listed), strict=True))
-        for c in signed:
-            found[c] = (found.get(c[:-1]) or self.recent[c[:-1]]) + self.signs[c[-1]]
+        known = {c: recent[c] for c in words if c in recent}
+        listed = [c for c in words if c not in known and c not in found]
+        found.update(zip(listed, self._lines(listed, " "), strict=True))
+        heads = {c: self.starts[c] for c in starts if c in self.starts}
+        listed = [c for c in starts if c not in heads]
+        heads.update(zip(listed, self._lines(listed, ""), strict=True))
+        self.starts.update(heads)
+        signs = self.signs
+        for c, (word, sign, start, mark) in split:
+            ids = (found.get(word) or known[word]) + signs[sign]
+            found[c] = ids + signs["\n"] + heads[start] + signs[mark] if start else ids
         found.update(zip(others, self.whole([" " + c for c in others]), strict=True))
-        if len(self.recent) + len(found) > self.most:
+        recent.update(found)
+
+    def _forget(self, keep: int) -> None:
+        """Called between lists of texts: the older half goes when the newer one is full."""
+        if len(self.recent) > keep:
             self.before, self.recent = self.recent, {}
-        self.recent.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
-        return found
+        if len(self.starts) > keep // 8:
+            self.starts = {}
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Of each whole text; none of a null or empty one."""
         out: list[bytes] = [b""] * len(texts)
-        late: dict[int, tuple[list[str], list[bytes | None]]] = {}
+        split: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
         missing: set[str] = set()
+        self._forget(self.most)
         known = self.recent.get
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if _UNSURE.search(text):
-                out[i] = self.whole([text])[0]
-                continue
             chunks = text.split(" ")
             ids = list(map(known, chunks))
-            ids[0] = self.whole(chunks[:1])[0]
-            if None in ids:
-                late[i] = chunks, ids
-                missing.update(c for c, x in zip(chunks, ids, strict=True) if x is None)
-            else:
-                out[i] = b"".join(ids)
-        if late:
-            learnt = self._learn(missing)
-            for i, (chunks, ids) in late.items():
-                out[i] = b"".join([learnt[c] if x is None else x for c, x in zip(chunks, ids, strict=True)])
+            gaps = list(compress(range(len(ids)), map(not_, ids)))
+            new = [chunks[j] for j in gaps]
+            # chunks that end in white space are never kept, so a text without new ones needs no closer look
+            if any(c[-1:].isspace() or not c or "<|" in c for c in new) and _UNSURE.search(text):
+                out[i] = self.whole([text])[0]
+                continue
+            missing.update(new)
+            split.append((i, chunks, ids, gaps))
+        firsts = self.whole([chunks[0] for _, chunks, _, _ in split])
+        self._learn(missing)
+        look = self.recent
+        for (i, chunks, ids, gaps), first in zip(split, firsts, strict=True):
+            for j in gaps:
+                ids[j] = look[chunks[j]]
+            ids[0] = first
+            out[i] = b"".join(ids)
+        for c in missing:
+            if not c or len(c) > LONGEST or c[-1].isspace() or "<|" in c:
+                del look[c]
         return out
 
 
