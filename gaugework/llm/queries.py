@@ -15,6 +15,7 @@ from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import COUNTS, LENGTHS, repetition
 from gaugework.llm.repair import block_starts, round_trip
 from gaugework.llm.simhash import near_duplicates
+from gaugework.llm.suffix import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +121,9 @@ def op7_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
     scored = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.DECISION).cast("int"))
+
+
+@query
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
