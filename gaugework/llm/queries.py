@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import pii, toxicity
+from gaugework.llm import licenses, pii, toxicity
 from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.multiset import fingerprints
@@ -127,3 +127,11 @@ def op7_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_canonical_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text"), licenses.known_texts(spark))
+
+
+ORACLES["op2_canonical_digest"] = licenses.scan_sql()
