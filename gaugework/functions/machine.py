@@ -84,12 +84,12 @@ def rule_flags() -> dict[str, Column]:
 
 
 def band(value: str | Column, edges: list[tuple[object, object]], last: object, at_least: bool = False) -> Column:
-    """Label of the first edge that the value is below (or at least at), else `last`."""
+    """Label of the first edge that the value is below (or at least at), else `last`; null for a missing value."""
     out = F.lit(last)
     for edge, label in reversed(edges):
         hit = _c(value) >= edge if at_least else _c(value) < edge
         out = F.when(hit, F.lit(label)).otherwise(out)
-    return out
+    return F.when(_c(value).isNotNull(), out)
 
 
 def life_urgency(rul: str | Column) -> Column:
@@ -115,7 +115,7 @@ def target_power(wear: str | Column) -> Column:
 
 
 def failure_band(prob: str | Column) -> Column:
-    return F.when(_c(prob) > 0.5, "critical").when(_c(prob) > 0.2, "warning").otherwise("ok")
+    return F.when(_c(prob) > 0.5, "critical").when(_c(prob) > 0.2, "warning").when(_c(prob).isNotNull(), "ok")
 
 
 def minutes_to_danger(wear: str | Column, danger: str | Column) -> Column:

@@ -113,7 +113,7 @@ def placebo_effects(
     def build(frame):
         return {f"placebo_{r}": F.lead(treatment, r).over(frame.window) for r in range(1, reps + 1)}
 
-    shifted = over_groups(ring, [], ["__i"], build, after=reps, limit=limit, position="__i").filter("__real")
+    shifted = over_groups(ring, [], ["__i"], build, after=reps, limit=limit, position="__i", trusted=True).filter("__real")
     fakes = [f"placebo_{r}" for r in range(1, reps + 1)]
     return _repeated_effects(shifted, fakes, outcome, confounders)
 

@@ -28,14 +28,15 @@ def _by_value(reference: DataFrame, current: DataFrame, cols: list[str]) -> Data
 
 def ks_and_wasserstein(reference: DataFrame, current: DataFrame, cols: list[str], drift_at: float = 0.1) -> DataFrame:
     """Per column: two-sample KS statistic with its 5 percent bound, and the Wasserstein distance in units of the
-    reference's population spread; a column drifts when that is at least `drift_at`."""
+    reference's population spread; a column drifts when that is at least `drift_at`. A side without values has 0 rows, and
+    nothing is said of the column's drift."""
     steps = _by_value(reference, current, cols)
-    gap = F.abs(F.col("cum_ref") / F.col("tot_ref") - F.col("cum_cur") / F.col("tot_cur"))
+    gap = F.abs(F.try_divide("cum_ref", "tot_ref") - F.try_divide("cum_cur", "tot_cur"))
     dist = steps.groupBy("column").agg(
         F.max("tot_ref").alias("ref_rows"),
         F.max("tot_cur").alias("cur_rows"),
         F.max(gap).alias("ks"),
-        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"),
+        F.when(F.max(gap).isNotNull(), F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0))).alias("wasserstein"),
     )
     spread = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in cols])
     spread = spread.unpivot([], cols, "__c", "__spread")
@@ -45,7 +46,7 @@ def ks_and_wasserstein(reference: DataFrame, current: DataFrame, cols: list[str]
         .withColumn("wasserstein_norm", F.col("wasserstein") / F.greatest(F.col("__spread"), F.lit(0.001)))
         .withColumns(
             {
-                "ks_drifted": F.col("ks") > F.lit(1.358) * F.sqrt((n + m) / (n * m)),
+                "ks_drifted": F.col("ks") > F.lit(1.358) * F.sqrt(F.try_divide(n + m, n * m)),
                 "drifted": F.col("wasserstein_norm") >= drift_at,
             }
         )
@@ -75,8 +76,9 @@ def psi(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 1
         .agg(F.sum(ref).alias("r"), F.sum(1 - ref).alias("c"))
     )
     totals = counts.groupBy(F.col("column").alias("__t")).agg(F.sum("r").alias("tr"), F.sum("c").alias("tc"))
-    p = F.greatest(F.col("r") / F.col("tr"), F.lit(eps))
-    q = F.greatest(F.col("c") / F.col("tc"), F.lit(eps))
+    both = (F.col("tr") > 0) & (F.col("tc") > 0)  # else the index stays null
+    p = F.when(both, F.greatest(F.try_divide("r", "tr"), F.lit(eps)))
+    q = F.when(both, F.greatest(F.try_divide("c", "tc"), F.lit(eps)))
     joined = counts.join(F.broadcast(totals), F.col("column") == F.col("__t"))
     return joined.groupBy("column").agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
 
@@ -88,12 +90,12 @@ def label_drift(reference: DataFrame, current: DataFrame, label: str, drift_at:
     both = ref.join(cur, F.col("__a").eqNullSafe(F.col("__b")), "full_outer")
     totals = both.agg(F.sum("r").alias("tr"), F.sum("c").alias("tc"))
     both = both.crossJoin(F.broadcast(totals))
-    p = F.coalesce(F.col("r"), F.lit(0)) / F.col("tr")
-    q = F.coalesce(F.col("c"), F.lit(0)) / F.col("tc")
+    p = F.try_divide(F.coalesce(F.col("r"), F.lit(0)), F.col("tr"))
+    q = F.try_divide(F.coalesce(F.col("c"), F.lit(0)), F.col("tc"))
     mid = (p + q) / 2
 
     def part(x):
-        return F.when(x > 0, x * F.log2(x / mid)).otherwise(F.lit(0.0))
+        return F.when(x > 0, x * F.log2(x / mid)).when(x == 0, F.lit(0.0))
 
     out = both.agg(F.sqrt(F.greatest(F.lit(0.0), F.sum(part(p) + part(q)) / 2)).alias("js_distance"))
     return out.withColumn("drifted", F.col("js_distance") >= drift_at)
@@ -123,6 +125,6 @@ def missing_comparison(reference: DataFrame, current: DataFrame, cols: list[str]
         F.col("ref_column").alias("column"),
         "ref_missing",
         "cur_missing",
-        (F.col("ref_missing") / F.col("ref_rows")).alias("ref_share"),
-        (F.col("cur_missing") / F.col("cur_rows")).alias("cur_share"),
+        F.try_divide("ref_missing", "ref_rows").alias("ref_share"),
+        F.try_divide("cur_missing", "cur_rows").alias("cur_share"),
     )

@@ -83,7 +83,8 @@ def condition_clusters(
     only: list[str] | None = None,
     name: str = "condition_cluster",
 ) -> DataFrame:
-    """Dense 0-based id of the rounded setting, numbered in each data set; 0 for data sets not in `only`."""
+    """Dense 0-based id of the rounded setting, numbered in each data set; 0 for data sets not in `only`; null where the
+    setting of a numbered data set is missing."""
     rounded = F.round(F.col(setting).cast("double"), digits)
     key = rounded if only is None else F.when(F.col(dataset).isin(only), rounded)
     keyed = df.withColumn("__key", key)
@@ -94,7 +95,9 @@ def condition_clusters(
         settings = running_sums(settings.withColumn("one", F.lit(1)), [dataset], "__key", ["one"])
         number = F.col("cum_one") - 1
     table = settings.select(dataset, "__key", number.cast("int").alias(name))
-    return attach(keyed, table, [dataset, "__key"]).fillna(0, subset=[name]).drop("__key")
+    numbered = F.lit(True) if only is None else F.col(dataset).isin(only)
+    cluster = F.when(F.col(name).isNotNull(), F.col(name)).when(~F.coalesce(numbered, F.lit(False)), F.lit(0))
+    return attach(keyed, table, [dataset, "__key"]).withColumn(name, cluster).drop("__key")
 
 
 def group_zscore(df: DataFrame, cols: list[str], keys: list[str], eps: float = 1e-6) -> DataFrame:

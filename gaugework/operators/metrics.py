@@ -76,7 +76,8 @@ def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> D
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None) -> DataFrame:
-    """RMSE, MAE and R2."""
+    """RMSE, MAE and R2 over the rows that have both values."""
+    df = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
     err = F.col(actual) - F.col(predicted)
     n = F.count(F.lit(1))
     r2 = F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(actual) * n)

@@ -133,9 +133,11 @@ def cross_validate(
 def what_if(model: PipelineModel, df: DataFrame, rul: str = "predicted_rul", stress: str = "thermal_stress"):
     """Predict again after the recommended stress reduction and report the gain over the present prediction.
 
-    `df` is an `interventions` result; both predictions run over the whole fleet as one plan.
+    `df` is an `interventions` result, made from `rul`. Both predictions are as the model gives them, not held inside any
+    range, and run over the whole fleet as one plan.
     """
-    before = df.withColumn("rul_before", F.col(rul)).withColumn("stress_before", F.col(stress)).drop("predicted_rul")
+    now = score_life(model, df.drop("predicted_rul"), None).withColumnRenamed("predicted_rul", "rul_before")
+    before = now.withColumn("stress_before", F.col(stress))
     after = score_life(model, what_if_inputs(before, stress), None).withColumnRenamed("predicted_rul", "rul_after")
     return after.withColumn("model_gain", F.greatest(F.lit(0.0), F.col("rul_after") - F.col("rul_before")))
 

@@ -1,7 +1,7 @@
 """Order-dependent work that never puts an unbounded group into one task.
 
 Groups of up to `limit` rows are windowed as they are. A larger group is cut: its rows get their position by range
-buckets and prefix sums of the bucket counts, then slices of `limit` positions are windowed apart, each with copies
+buckets over all the order columns, compared in their own types, and prefix sums of the bucket counts; then slices of `limit` positions are windowed apart, each with copies
 of the neighbouring rows that its frames reach. The result is the same either way.
 """
 
@@ -24,13 +24,13 @@ def range_buckets(spark: SparkSession) -> int:
     """Power of two near the shuffle parallelism; the bucket tables have that many rows per group."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 8
-    while buckets < wanted and buckets < 16384:
+    while buckets < wanted:
         buckets *= 2
     return buckets
 
 
 def hash_buckets(spark: SparkSession) -> int:
-    return min(65536, 64 * range_buckets(spark))
+    return 64 * range_buckets(spark)
 
 
 def split_points(value: str, buckets: int) -> Column:
@@ -53,6 +53,24 @@ def place(value: Column, splits: Column, buckets: int) -> Column:
     )
 
 
+SAMPLES_PER_BUCKET = 20
+_HASHES = 1_000_003
+
+
+def order_splits(df: DataFrame, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """Per group of `df`, whose size is `__n`: `__splits`, the values of the order columns that cut it into `buckets`
+    about equal ranges. They come from a hash sample of SAMPLES_PER_BUCKET rows a bucket and keep their types, so any
+    order that a window can have is cut the same way; the later columns split ties of the first."""
+    share = F.least(F.lit(1.0), F.lit(float(SAMPLES_PER_BUCKET * buckets)) / F.col("__n"))
+    some = df.filter(F.pmod(F.xxhash64(*order), F.lit(_HASHES)) < share * _HASHES)
+    found = some.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("__s"))
+    every = F.transform(
+        F.sequence(F.lit(1), F.lit(buckets - 1)),
+        lambda i: F.element_at("__s", F.greatest(F.lit(1), F.ceil(i * F.size("__s") / F.lit(buckets)).cast("int"))),
+    )
+    return found.select(*keys, every.alias("__splits"))
+
+
 def heavy_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
     """Groups of more than `limit` rows with their size; at most rows/limit of them, None when there are none."""
     found, rows = sized(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit))
@@ -65,19 +83,20 @@ def _before(col: str, by: list[str], order: str) -> Column:
     return F.coalesce(F.sum(col).over(w), F.lit(0))
 
 
-def _index(df: DataFrame, keys: list[str], order: list, heavy: DataFrame | None, range_on: Column, pos: str):
+def _index(df: DataFrame, keys: list[str], order: list[str], heavy: DataFrame | None, limit: int, pos: str):
     if heavy is None:
         return df.withColumn(pos, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    buckets = range_buckets(df.sparkSession)
-    valued = df.withColumn("__v", range_on.cast("double"))
-    inside = attach(valued, heavy.drop("__n"), keys, "inner")
-    splits, _ = sized(inside.groupBy(*keys).agg(split_points("__v", buckets).alias("__splits")))
-    bucket = F.when(F.col("__splits").isNull(), 0).otherwise(place(F.col("__v"), F.col("__splits"), buckets))
-    placed = attach(valued, splits, keys).withColumn("__b", bucket)
+    largest = heavy.agg(F.max("__n")).first()[0]
+    buckets = 8
+    while buckets * limit < 2 * largest:  # the larger the group, the more buckets of about half the limit
+        buckets *= 2
+    splits, _ = sized(order_splits(attach(df, heavy, keys, "inner"), keys, order, buckets))
+    bucket = F.when(F.col("__splits").isNull(), 0).otherwise(place(F.struct(*order), F.col("__splits"), buckets))
+    placed = attach(df, splits, keys).withColumn("__b", bucket)
     counts = placed.filter(F.col("__splits").isNotNull()).groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"))
     offsets, _ = sized(counts.withColumn("__off", _before("__c", keys, "__b")).drop("__c"))
     local = F.row_number().over(W.partitionBy(*keys, "__b").orderBy(*order))
-    ranked = attach(placed.drop("__splits", "__v"), offsets, [*keys, "__b"])
+    ranked = attach(placed.drop("__splits"), offsets, [*keys, "__b"])
     ranked = ranked.withColumn(pos, (F.coalesce(F.col("__off"), F.lit(0)) + local).cast("long"))
     return ranked.drop("__b", "__off")
 
@@ -86,17 +105,25 @@ def group_index(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    range_on: Column | None = None,
     limit: int = ROWS_PER_SLICE,
     pos: str = "pos",
 ) -> DataFrame:
-    """Position 1..n of every row in its group. `order` must be unique in the group; `range_on` is a number that
-    never falls along it (default: the first order column). Without keys the whole table is one group."""
+    """Position 1..n of every row in its group. `order` must be unique in the group; its columns may be of any type
+    that can be ordered, nulls first. Without keys the whole table is one group."""
     extra = [] if keys else ["__all"]
     work = df if keys else df.withColumn("__all", F.lit(0))
     keys = keys or extra
     heavy = heavy_groups(work, keys, limit)
-    return _index(work, keys, order, heavy, F.col(order[0]) if range_on is None else range_on, pos).drop(*extra)
+    return _index(work, keys, order, heavy, limit, pos).drop(*extra)
+
+
+def _check_positions(df: DataFrame, keys: list[str], position: str) -> None:
+    at = F.col(position).cast("decimal(38,0)")
+    n = F.count(F.lit(1)).cast("decimal(38,0)")
+    sums = df.groupBy(*keys).agg(n.alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"), F.sum(at).alias("s"), F.sum(at * at).alias("q"))
+    right = "lo = 1 AND hi = n AND s * 2 = n * (n + 1) AND q * 6 = n * (n + 1) * (2 * n + 1)"
+    if sums.filter(f"NOT coalesce({right}, false)").head(1):
+        raise ValueError(f"{position} must count the rows of every group from 1 without gaps or repeats")
 
 
 @dataclass
@@ -115,15 +142,16 @@ def over_groups(
     build: Callable[[Frame], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    range_on: Column | None = None,
     limit: int = ROWS_PER_SLICE,
     finish: list[dict[str, Column]] | None = None,
     position: str | None = None,
+    trusted: bool = False,
 ) -> DataFrame:
     """Add the window columns that `build` returns; they may reach `before` rows back and `after` rows ahead.
 
     `position` names a column that already counts the rows of each group 1..n: groups are then cut by it straight
-    away, with no pass to find the large ones (and `Frame.size` is not available).
+    away, without a sort to find the places (and `Frame.size` is not available). One aggregation checks that it has no
+    gaps or repeats, unless the caller has made it (`trusted`).
     Built columns whose names start with `__` feed the row-wise steps of `finish` and are dropped after them.
     """
     limit = max(limit, before, after, 1)
@@ -139,6 +167,8 @@ def over_groups(
         return out.drop(*[name for name in columns if name.startswith("__")])
 
     if position is not None:
+        if not trusted:
+            _check_positions(work, keys, position)
         indexed = work.withColumns({"__pos": F.col(position).cast("long"), "__n": F.lit(None).cast("long")})
         cut = F.lit(True)
     else:
@@ -147,8 +177,7 @@ def over_groups(
             w = W.partitionBy(*keys).orderBy(*order)
             size = F.count(F.lit(1)).over(W.partitionBy(*keys))
             return run(work, Frame(w, F.row_number().over(w), size)).drop(*extra)
-        range_on = F.col(order[0]) if range_on is None else range_on
-        indexed = attach(_index(work, keys, order, heavy, range_on, "__pos"), heavy, keys)
+        indexed = attach(_index(work, keys, order, heavy, limit, "__pos"), heavy, keys)
         cut = F.col("__n").isNotNull()
     home = F.when(cut, F.floor((F.col("__pos") - 1) / F.lit(limit))).otherwise(F.lit(0)).cast("long")
     inside = F.pmod(F.col("__pos") - 1, F.lit(limit))

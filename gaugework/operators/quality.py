@@ -154,7 +154,7 @@ def label_shift(df: DataFrame, label: str, is_test: str = "is_test") -> DataFram
     test = F.col(is_test)
     counts = df.groupBy(F.col(label).alias("label")).agg(_count_if(~test).alias("r"), _count_if(test).alias("t"))
     totals = counts.agg(F.sum("r").alias("__r"), F.sum("t").alias("__t"))
-    train, held = F.col("r") / F.col("__r"), F.col("t") / F.col("__t")
+    train, held = F.try_divide("r", "__r"), F.try_divide("t", "__t")
     return counts.crossJoin(F.broadcast(totals)).select(
         "label", train.alias("train_share"), held.alias("test_share"), (held - train).alias("shift")
     )

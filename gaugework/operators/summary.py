@@ -21,11 +21,13 @@ def group_counts(df: DataFrame, by: list[str], name: str = "rows") -> DataFrame:
 def fleet_profile(df: DataFrame, dataset: str = "dataset_id", unit: str = "unit", critical: float = 20) -> DataFrame:
     """Per data set and overall: engines, rows, mean, smallest and largest remaining life, critical rows.
 
-    Engines are collapsed first, so nothing is counted distinct over the rows.
+    Engines are collapsed first, so nothing is counted distinct over the rows. Rows without a life count as rows only; a
+    null data set is a group of its own.
     """
     engines = df.groupBy(dataset, unit).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("rul").alias("s"),
+        F.count("rul").alias("k"),
         F.min("rul").alias("lo"),
         F.max("rul").alias("hi"),
         _count_if(F.col("rul") < critical).alias("c"),
@@ -33,12 +35,13 @@ def fleet_profile(df: DataFrame, dataset: str = "dataset_id", unit: str = "unit"
     profile = engines.rollup(dataset).agg(
         F.count(F.lit(1)).alias("engines"),
         F.sum("n").alias("rows"),
-        (F.sum("s") / F.sum("n")).alias("mean_rul"),
+        F.try_divide(F.sum("s"), F.sum("k")).alias("mean_rul"),
         F.min("lo").alias("min_rul"),
         F.max("hi").alias("max_rul"),
         F.sum("c").alias("critical_count"),
+        F.grouping(dataset).alias("__all"),
     )
-    return profile.withColumn(dataset, F.coalesce(F.col(dataset), F.lit("all")))
+    return profile.withColumn(dataset, F.when(F.col("__all") == 1, F.lit("all")).otherwise(F.col(dataset))).drop("__all")
 
 
 def anomaly_summary(
@@ -117,8 +120,9 @@ def stage_rates(
 
 
 def error_histogram(df: DataFrame, actual: str, predicted: str, bins: int = 40) -> DataFrame:
-    """Counts of prediction errors in equal bins over their range; the last bin is closed, empty bins are kept."""
-    err = df.select((F.col(predicted) - F.col(actual)).alias("e"))
+    """Counts of prediction errors in equal bins over their range; the last bin is closed, empty bins are kept
+    and missing errors left out."""
+    err = df.select((F.col(predicted) - F.col(actual)).alias("e")).filter("e is not null")
     ends = err.agg(F.min("e").alias("__lo"), F.max("e").alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     slot = F.coalesce(F.floor(F.try_divide(F.col("e") - F.col("__lo"), width)), F.lit(0))
@@ -172,7 +176,7 @@ def feasibility(df: DataFrame, status: str = "status") -> DataFrame:
         total.alias("total_scenarios"),
         ok.alias("feasible_count"),
         (total - ok).alias("infeasible_count"),
-        (ok / total * 100).alias("feasibility_rate"),
+        (F.try_divide(ok, total) * 100).alias("feasibility_rate"),
     )
 
 

@@ -15,8 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One series of cycles per user of `events`; unit numbers restart in each of the four data sets."""
     ev = table(spark, sf_dir, "events")
-    ts = F.col("ts")
-    seconds = F.unix_date(F.to_date(ts)) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
     value = F.col("value")
     shaped = ev.select(
@@ -34,10 +32,7 @@ def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k / 100.0 + 0.5).alias("s15"),
         (F.col("event_type") == "error").cast("int").alias("label"),
     )
-    indexed = group_index(
-        shaped.withColumn("__at", seconds), ["dataset_id", "unit"], ["ts", "event_id"], F.col("__at"), pos="cycle"
-    )
-    return indexed.drop("ts", "__at")
+    return group_index(shaped, ["dataset_id", "unit"], ["ts", "event_id"], pos="cycle").drop("ts")
 
 
 def machines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -450,22 +450,28 @@ def savgol_by_engine(spark, sf_dir):
     return tidy(df.select("event_id", "s2_smooth", "s4_smooth"))
 
 
-@register(
-    "savgol_series",
-    oracle(
-        f'SELECT udi AS "UDI", {r(_smooth_sql("power_w"), 4)} AS power_w_smooth, {r(_smooth_sql("torque"), 4)} AS torque_smooth '
-        "FROM p WINDOW w AS (ORDER BY udi)",
-        "clean_log",
-        ctes={"p": "SELECT *, row_number() OVER (ORDER BY udi) AS p, count(*) OVER () AS n FROM clean_log"},
-    ),
+SERIES = oracle(
+    f'SELECT udi AS "UDI", {r(_smooth_sql("power_w"), 4)} AS power_w_smooth, {r(_smooth_sql("torque"), 4)} AS torque_smooth '
+    "FROM p WINDOW w AS (ORDER BY udi)",
+    "clean_log",
+    ctes={"p": "SELECT *, row_number() OVER (ORDER BY udi) AS p, count(*) OVER () AS n FROM clean_log"},
 )
-def savgol_series(spark, sf_dir):
+
+
+@register("savgol_series", SERIES)
+def savgol_series(spark, sf_dir, **options):
     """The whole table is one series; beyond the slice size it is cut into slices that overlap by the filter's reach."""
     clean = X.clean_machines(A.machine_log(spark, sf_dir)).select("UDI", "power_w", "torque")
-    df = savgol(clean, ["power_w", "torque"], [], ["UDI"])
+    df = savgol(clean, ["power_w", "torque"], [], ["UDI"], **options)
     return tidy(df.select("UDI", "power_w_smooth", "torque_smooth"), 4)
 
 
+@register("savgol_series_cut", SERIES)
+def savgol_series_cut(spark, sf_dir):
+    """The same series in slices of 2,000 rows."""
+    return savgol_series(spark, sf_dir, limit=2000)
+
+
 @register(
     "union_parts",
     oracle(

@@ -223,7 +223,7 @@ def nearest_scenario(spark, sf_dir):
     "setpoint_lookup",
     oracle(
         """SELECT type_code, m.tool_wear, CASE WHEN g.scenario IS NOT NULL THEN n.scenario END AS matched_scenario, s.ok AS solved,
-  s.torque_nm, s.setpoint_rpm, CASE WHEN g.scenario IS NULL THEN 'prod_type must be L, M, or H. Got: ' || type_code END AS error,
+  s.torque_nm, s.setpoint_rpm, CASE WHEN g.scenario IS NULL THEN 'unknown product type (known: L, M, H): ' || type_code END AS error,
   count(*) AS "rows"
 FROM asked m JOIN near n ON m.tool_wear = n.wear
 LEFT JOIN grid g ON g.scenario = n.scenario AND g.prod_type = CASE upper(type_code) WHEN 'L' THEN 0 WHEN 'M' THEN 1 WHEN 'H' THEN 2 END
@@ -251,11 +251,12 @@ def setpoint_lookup(spark, sf_dir):
     "setpoint_or_lookup",
     oracle(
         """SELECT m.prod_type, m.tool_wear, CASE WHEN gap <= 10 THEN 'lookup' ELSE 'solve' END AS source,
-  CASE WHEN gap <= 10 THEN g.torque_nm ELSE s.torque_nm END AS torque_nm,
-  CASE WHEN gap <= 10 THEN g.setpoint_rpm ELSE s.setpoint_rpm END AS setpoint_rpm, count(*) AS "rows"
+  """
+        + ", ".join(f"CASE WHEN gap <= 10 THEN g.{c} ELSE s.{c} END AS {c}" for c in POINTS)
+        + """, count(*) AS "rows"
 FROM machines m JOIN near n ON m.tool_wear = n.wear
-JOIN scenario_points g ON g.scenario = n.scenario AND g.prod_type = m.prod_type
-JOIN solved s ON m.prod_type = s.prod_type AND m.tool_wear = s.tool_wear AND s.target = """
+JOIN g_out g ON g.scenario = n.scenario AND g.prod_type = m.prod_type
+JOIN s_out s ON m.prod_type = s.prod_type AND m.tool_wear = s.tool_wear AND s.target = """
         + TARGET.replace("tool_wear", "m.tool_wear")
         + " GROUP BY ALL",
         "machines",
@@ -273,6 +274,8 @@ JOIN solved s ON m.prod_type = s.prod_type AND m.tool_wear = s.tool_wear AND s.t
             },
             "scenario_points": f"SELECT scenario, g_solved.* FROM g_solved JOIN (VALUES {STAGES}) s(scenario, w, t) ON tool_wear = w",
             **setpoint_ctes(f"(SELECT *, {TARGET} AS target FROM machines)", "200"),
+            "g_out": f"SELECT scenario, prod_type, {POINT_COLUMNS} FROM scenario_points",
+            "s_out": f"SELECT prod_type, tool_wear, target, {POINT_COLUMNS} FROM solved",
         },
     ),
 )
@@ -280,18 +283,17 @@ def setpoint_or_lookup(spark, sf_dir):
     df = A.machines(spark, sf_dir)
     grid = R.setpoints(R.scenario_table(df.agg(F.lit(200.0).alias("danger"))), target="target", danger=F.col("danger"))
     out = R.setpoint_or_lookup(df.select("prod_type", "tool_wear"), grid, danger=200.0)
-    keys = ["prod_type", "tool_wear", "source", "torque_nm", "setpoint_rpm"]
-    return tidy(out.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")))
+    return tidy(out.groupBy("prod_type", "tool_wear", "source", *POINTS).agg(F.count(F.lit(1)).alias("rows")))
 
 
 @register(
     "setpoint_text",
     oracle(
-        f"""SELECT m.prod_type, m.tool_wear, CASE WHEN ok THEN printf('Optimal for %.0fW target: RPM=%d, Torque=%dNm, Actual power=%.0fW. '
-  || 'OSF margin: %.1f%%. Urgency: %s.', goal, setpoint_rpm, torque_nm, torque_nm * (setpoint_rpm * 2.0::DOUBLE * pi() / 60.0::DOUBLE),
+        f"""SELECT m.prod_type, m.tool_wear, CASE WHEN ok THEN printf('To reach %.0f W run at %d rpm and %d Nm, which gives %.0f W '
+  || 'and leaves %.1f%% of the overstrain limit (%s).', goal, setpoint_rpm, torque_nm, torque_nm * (setpoint_rpm * 2.0::DOUBLE * pi() / 60.0::DOUBLE),
   round(round((1 - s.tool_wear * torque_nm / lim) * 100, 6), 1), CASE WHEN s.tool_wear >= danger THEN 'CRITICAL'
   WHEN s.tool_wear >= 200 THEN 'WARNING' WHEN s.tool_wear >= 150 THEN 'CAUTION' ELSE 'NORMAL' END)
-  ELSE 'No safe setpoint — schedule immediate tool replacement' END AS recommendation, count(*) AS "rows" FROM m
+  ELSE 'No speed and torque are within limits: replace the tool now' END AS recommendation, count(*) AS "rows" FROM m
 JOIN solved s ON m.prod_type = s.prod_type AND m.tool_wear = s.tool_wear AND m.target = s.target GROUP BY ALL""",
         "machines",
         ctes={"m": f"SELECT *, {TARGET} AS target FROM machines", **setpoint_ctes("m", "240")},
@@ -331,10 +333,10 @@ def intervention(spark, sf_dir):
 @register(
     "intervention_text",
     oracle(
-        f"""SELECT event_id, CASE WHEN status = 'SUCCESS' THEN printf('[%s] Reduce thermal stress by %.0f%%. Expected RUL gain: +%.1f to '
-  || '+%.1f cycles. RUL range after intervention: %.1f–%.1f cycles.', {URGENCY}, cut / abs(thermal_stress) * 100, 0.0::DOUBLE,
+        f"""SELECT event_id, CASE WHEN status = 'SUCCESS' THEN printf('%s: take %.0f%% off the thermal stress; this should add %.1f to '
+  || '%.1f cycles, for a remaining life of %.1f to %.1f cycles', {URGENCY}, cut / abs(thermal_stress) * 100, 0.0::DOUBLE,
   8.6275::DOUBLE * cut, rul::DOUBLE, rul + 8.6275::DOUBLE * cut)
-  ELSE printf('Engine healthy. RUL: %.1f cycles. No intervention needed.', rul::DOUBLE) END AS recommendation
+  ELSE printf('Nothing to do: %.1f cycles of life remain', rul::DOUBLE) END AS recommendation
 FROM (SELECT *, {STATUS} AS status, thermal_stress - thermal_stress * (1 - {REDUCTION}) AS cut FROM lived)""",
         "cycles",
         ctes=LIVED,

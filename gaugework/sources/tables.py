@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +24,24 @@ MACHINE_SCHEMA = T.StructType(
 )
 
 
+def _fields(text: str) -> Column:
+    return F.split(F.regexp_replace(F.col(text), r"^\s+|\s+$", ""), r"\s+")
+
+
+def bad_lines(lines: DataFrame, columns: list[str] = RAW_COLUMNS, text: str = "value") -> DataFrame:
+    """One row: lines, those with too few fields, and those with a field that is no number."""
+    fields = lines.select(_fields(text).alias("p"))
+    short = F.size("p") < len(columns)
+    odd = F.exists(F.slice("p", 1, len(columns)), lambda x: x.try_cast("double").isNull())
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    return fields.agg(F.count(F.lit(1)).alias("lines"), count(short).alias("short"), count(~short & odd).alias("odd"))
+
+
 def parse_cycles(lines: DataFrame, columns: list[str] = RAW_COLUMNS, text: str = "value") -> DataFrame:
     """Blank-separated numbers to columns; shorter lines are dropped, surplus fields ignored. Engine and cycle
-    numbers become longs."""
-    trimmed = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
-    parts = lines.select(F.split(trimmed, r"\s+").alias("p")).filter(F.size("p") >= len(columns))
-    cells = [F.element_at("p", i + 1).cast("double") for i in range(len(columns))]
+    numbers become longs; what is no number becomes null (`bad_lines` counts such lines)."""
+    parts = lines.select(_fields(text).alias("p")).filter(F.size("p") >= len(columns))
+    cells = [F.element_at("p", i + 1).try_cast("double") for i in range(len(columns))]
     return parts.select(
         *[(c.cast("long") if name in ("unit", "cycle") else c).alias(name) for name, c in zip(columns, cells)]
     )

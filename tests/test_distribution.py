@@ -146,3 +146,25 @@ def test_plans_have_no_window_over_the_whole_table(spark, hot):
     assert rows == 21
     joined = hot.join(side, "unit")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in joined
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "string", "date", "timestamp_ntz", "decimal(20,2)"])
+@pytest.mark.parametrize("limit", [7, 40, 1000])
+def test_order_of_any_type_does_not_depend_on_the_limit(spark, kind, limit):
+    """String, date and null orders, with ties that the second column breaks: the same positions at every limit."""
+    from gaugework.operators.ordered import group_index
+
+    rows = spark.range(400).selectExpr("id % 3 AS g", "id", "CAST(nullif((id * 7) % 60, 11) AS INT) AS n")
+    value = {"date": "date_add(date'2024-01-01', n)", "timestamp_ntz": "CAST(date_add(date'2024-01-01', n) AS timestamp_ntz)"}
+    rows = rows.selectExpr("g", "id", f"CAST({value.get(kind, 'n')} AS {kind}) AS v").repartition(5)
+    small = {(r.g, r.id): r.pos for r in group_index(rows, ["g"], ["v", "id"]).collect()}
+    cut = {(r.g, r.id): r.pos for r in group_index(rows, ["g"], ["v", "id"], limit=limit).collect()}
+    assert cut == small and len(small) == 400
+
+
+def test_positions_with_gaps_are_refused(spark):
+    from gaugework.operators.features import rolling_features
+
+    cycles = spark.range(60).selectExpr("1 AS unit", "id * 5 + 5 AS cycle", "CAST(id AS double) AS x")
+    with pytest.raises(ValueError, match="without gaps"):
+        rolling_features(cycles, ["x"], ["unit"], limit=20, position="cycle")

@@ -78,7 +78,7 @@ def test_interventions(spark):
     assert {out[k]["status"] for k in (70.0, 100.0, 60.0)} == {"NO_INTERVENTION_NEEDED"}  # small or negative stress is left alone
     assert R.interventions(df, "ts", "rul", -8.6275).first()["status"] == "CAUSAL_UNRELIABLE"  # unproven by default
     text = R.interventions(df, "ts", "rul", -8.6275, True).select(R.intervention_text("rul")).first()[0]
-    assert text.startswith("[CRITICAL] Reduce thermal stress by 40%.")
+    assert text.startswith("CRITICAL: take 40% off the thermal stress;")
 
 
 def test_what_if_scales_by_the_root(spark):
@@ -122,12 +122,12 @@ def test_refutations_tell_a_real_effect(spark):
 def test_setpoint_text_and_lookup(spark):
     df = spark.createDataFrame([(0, 1), (900, 0)], "tool_wear long, prod_type long")
     out = R.setpoints(df).withColumn("text", R.setpoint_text()).orderBy("tool_wear").collect()
-    assert out[0]["text"] == "Optimal for 8000W target: RPM=1200, Torque=66Nm, Actual power=8294W. OSF margin: 100.0%. Urgency: NORMAL."
-    assert out[1]["status"] == "INFEASIBLE" and out[1]["text"].startswith("No safe setpoint")
+    assert out[0]["text"] == "To reach 8000 W run at 1200 rpm and 66 Nm, which gives 8294 W and leaves 100.0% of the overstrain limit (NORMAL)."
+    assert out[1]["status"] == "INFEASIBLE" and out[1]["text"].startswith("No speed and torque")
     grid = R.setpoints(R.scenario_table(spark.range(1)), target="target")
     assert grid.count() == 15 and grid.filter("status = 'OPTIMAL'").count() == 15
     asks = spark.createDataFrame([("m", 95), ("Q", 10)], "type_code string, tool_wear long")
     got = {r["type_code"]: r for r in R.lookup_setpoint(asks, grid).collect()}
     assert got["m"]["matched_scenario"] == "Mid-life tool" and got["m"]["torque_nm"] == 62
-    assert got["Q"]["error"] == "prod_type must be L, M, or H. Got: Q" and got["Q"]["matched_scenario"] is None
+    assert got["Q"]["error"] == "unknown product type (known: L, M, H): Q" and got["Q"]["matched_scenario"] is None
     assert math.isclose(out[0]["setpoint_power_w"], 66 * 1200 * 2 * math.pi / 60)
