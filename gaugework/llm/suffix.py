@@ -308,13 +308,15 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     base = docs.select(F.col(f"`{id}`").alias("id"), t.alias("text"), F.xxhash64(t).alias("d"))
     copies = stored(base.groupBy("d").agg(F.count("*").alias("n"), F.min("id").alias("keep")), "copies")
     runs = stored(base.select("d", "text").mapInArrow(_runs(length, gram), "gram bigint, bytes bigint, d bigint, run bigint"), "runs")
-    again = runs.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # stored, so that the joins are between plain tables, whose skewed keys adaptive execution splits
+    again = stored(runs.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "again")
     rep = stored(runs.join(again, "gram"), "repeated")
     kinds = stored(rep.groupBy("gram", "bytes").agg(F.count("*").alias("n"), F.min(F.struct("d", "run")).alias("one")), "kinds")
     settled = rep.join(kinds.filter("n > 1").select("gram", "bytes"), ["gram", "bytes"])
     whole = settled.select("d", F.shiftright("run", 20).alias("lo"), (F.shiftright("run", 20) + F.shiftright("run", 10).bitwiseAND(F.lit(1023)) + length - 1).alias("hi"))
 
-    open_ = kinds.groupBy("gram").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter("contexts > 1 and least = 1")
+    open_ = kinds.groupBy("gram").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
+    open_ = stored(open_.filter("contexts > 1 and least = 1"), "open")
     wanted = kinds.join(open_.select("gram", "contexts"), "gram").select("one.d", F.struct("gram", "one.run", "contexts").alias("r"))
     wanted = wanted.groupBy("d").agg(F.collect_list("r").alias("runs")).join(copies.select("d", "keep"), "d")
     texts = base.join(wanted, "d").filter(F.col("id").eqNullSafe(F.col("keep"))).select("text", "d", "runs")
