@@ -15,7 +15,7 @@ from operator import not_
 
 import numpy as np
 
-CHUNKS = 500_000
+CHUNKS = 250_000
 LONGEST = 64
 _SIGNS = frozenset(".,;:!?%&*#$")
 _UNSURE = re.compile(r"\s (?:\s|\Z)|<\|")

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from gaugework.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 4096
 PREFIX_GROUP = 4096
 
