@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import stored
 
-#: Known licence texts that are looked up where no other table is given: short licences in full and usual notices.
+#: Short licences in full and usual notices; the SQL below looks up these alone.
 KNOWN = [
     ("0BSD", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
@@ -36,24 +39,64 @@ EQUAL = {
     "utilisation": "utilization", "whilst": "while", "wilful": "willful", "http": "https",
 }
 
+#: More of them, which the SQL below does without. All parts of a word are brought to two words, so that a hyphen is no matter.
+MORE_EQUAL = {
+    "analyse": "analyze", "artefact": "artifact", "artefacts": "artifacts", "authorisations": "authorizations", "calibre": "caliber",
+    "cancelled": "canceled", "capitalisations": "capitalizations", "catalogue": "catalog", "categorise": "categorize",
+    "defence": "defense", "emphasised": "emphasized", "favourite": "favorite", "fulfilment": "fulfillment", "honour": "honor",
+    "initialised": "initialized", "judgements": "judgments", "labelling": "labeling", "licencing": "licensing", "licencor": "licensor",
+    "licencee": "licensee", "maximise": "maximize", "modelled": "modeled",
+    "noninfringement": "non infringement", "offence": "offense", "optimise": "optimize", "organise": "organize", "programme": "program",
+    "realise": "realize", "recognised": "recognized", "signalling": "signaling", "sublicense": "sub license",
+    "sublicensed": "sub licensed", "sublicenced": "sub licensed", "sublicenses": "sub licenses", "sublicences": "sub licenses",
+    "sublicensing": "sub licensing", "sublicencing": "sub licensing", "sublicensable": "sub licensable",
+    "sublicensee": "sub licensee", "sublicensees": "sub licensees", "utilise": "utilize",
+}
+
 # Lines that name a holder and not a licence, bounded by line breaks or the ends of the text.
 _HOLDER = r"(?m)^[ \t>*#/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+# The same without lines of a wrapped licence that begin with such a word, and with the addresses in the GNU licences.
+_GOES_ON = (
+    r"(?![ \t,.;:)'\"-]*(?:$|(?:holders?|owners?|notices?|licen[cs]es?|licensors?|laws?|interests?|treaty|statements?|disclaimers?|claims?|status|protection"
+    r"|permission|doctrine|and|or|in|on|to|for|under|if|any|each|an|all|of|you|your|that|this|these|such|is|are|may|must|shall|will|with|as|not|other|it|its"
+    r"|(?:the|a) (?:software|program|work|library|licen[cs]e|source|entire|modified|name|date|fact|recipient|copyright|covered|terms))\b))"
+)
+_HOLDERS = rf"(?m)^[ \t>*#/;-]*(?:(?:copyright\b|\(c\)){_GOES_ON}|©|all rights reserved|51 franklin st|59 temple pl|675 mass ave)[^\n]*$"
 _MARKS = r"[^\p{L}\p{N}]+"
-#: Words of which a notice has at least one: texts and lines without any are not looked at more closely.
+_MARKS_IN_LINE = r"[^\p{L}\p{N}\n]+"
+#: The SQL below looks only at texts and lines with one of these words.
 HINT = r"(?i)licen[cs]|copyright|warrant|permission"
 
 
+def _words(text: Column) -> Column:
+    """Lower-case words with two blanks between them and single line breaks."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), _HOLDERS, " "), _MARKS_IN_LINE, "  ")
+    return F.concat(F.lit(" "), F.replace(plain, F.lit("\n"), F.lit(" \n ")), F.lit(" "))  # every word has blanks of its own
+
+
+def _usual(words: Column) -> Column:
+    """Of a text or a line: equal spellings as one, an owner of copyright as a holder, one blank between words."""
+    for spelling, usual in (EQUAL | MORE_EQUAL).items():
+        words = F.replace(words, F.lit(f" {spelling} "), F.lit(f" {usual.replace(' ', '  ')} "))
+    return F.trim(F.replace(F.regexp_replace(words, "[ \n]+", " "), F.lit(" copyright owner"), F.lit(" copyright holder")))
+
+
+def _spelled_once(words: Column) -> Column:
+    """All words but those that `_usual` changes or puts in: equal for texts of one canonical form, and one regex."""
+    by: dict[str, list[str]] = {}
+    for word in sorted({w for pair in (EQUAL | MORE_EQUAL).items() for phrase in pair for w in phrase.split()}):
+        by.setdefault(word[0], []).append(word[1:])
+    listed = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by.items())
+    return F.regexp_replace(F.regexp_replace(words, f" (?:{listed}|(?:owner|holder)[^ \n]*) ", " "), " +", " ")
+
+
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, punctuation and white space as one blank, equal spellings as one."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), _HOLDER, " "), _MARKS, "  ")
-    plain = F.concat(F.lit(" "), plain, F.lit(" "))  # every word has blanks of its own
-    for spelling, usual in EQUAL.items():
-        plain = F.replace(plain, F.lit(f" {spelling} "), F.lit(f" {usual} "))
-    return F.trim(F.regexp_replace(plain, " +", " "))
+    return _usual(_words(text))
 
 
 def canonical_sql(text: str) -> str:
-    """The same in plain SQL."""
+    """The same in plain SQL, with the spellings in EQUAL and the plain rule for copyright lines."""
     plain = f"' ' || regexp_replace(regexp_replace(lower({text}), '{_HOLDER}', ' ', 'g'), '{_MARKS}', '  ', 'g') || ' '"
     for spelling, usual in EQUAL.items():
         plain = f"replace({plain}, ' {spelling} ', ' {usual} ')"
@@ -64,32 +107,84 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def _mark(rest: Column) -> Column:
+    """One of MARKS short digests of what `_spelled_once` leaves, as a filter in front of the long ones."""
+    return F.crc32(rest.cast("binary")) % MARKS
+
+
+MARKS = 1 << 16
+
+
 def known_digests(known: DataFrame) -> DataFrame:
-    """(license, digest) of a table (license, text); of licences with one canonical text the first name stands."""
-    return known.select("license", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
+    """(license, digest, mark) of a table (license, text); of licences with one canonical text the first name stands, and
+    texts of no words are left out."""
+    plain = known.select("license", canonical(F.col("text")).alias("plain")).filter("plain <> ''")
+    apart = F.concat(F.lit(" "), F.replace("plain", F.lit(" "), F.lit("  ")), F.lit(" "))
+    rows = plain.select("license", F.sha2("plain", 256).alias("digest"), _mark(F.trim(_spelled_once(apart))).alias("mark"))
+    return rows.groupBy("digest", "mark").agg(F.min("license").alias("license"))
+
+
+#: Titles under which short licences stand; the long ones have theirs in the text.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License", "Zero-Clause BSD License (0BSD)", "0BSD License"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "License: MIT", "MIT", "Expat License", "The Expat License", "MIT/X11 License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "FreeBSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License", "Revised BSD License", "BSD License"],
+}
+
+
+def forms(license: str, text: str) -> list[str]:
+    """The forms in which a licence is handed on: with and without title, numbers of its clauses, and what follows its terms."""
+    ends = re.search(r"END OF TERMS AND CONDITIONS", text)
+    bodies = [text, *([text[: ends.end()], text[: ends.start()]] if ends else [])]
+    if license in TITLES:
+        bodies += [re.sub(r"(?m)^[0-9][.)] ", "", b) for b in bodies]
+        return [*bodies, *(f"{t}\n\n{b}" for t in TITLES[license] for b in bodies)]
+    # the long ones: their first block of lines is the title
+    return [*bodies, *(rest for b in bodies for rest in re.split(r"\n[ \t]*\n", b.lstrip(), maxsplit=1)[1:])]
+
+
+def known_licenses() -> list[tuple[str, str]]:
+    """KNOWN and the whole texts beside this file, in all their forms."""
+    files = sorted(Path(__file__).with_name("license_texts").glob("*.txt"))
+    whole = [(f.stem, f.read_text("utf-8")) for f in files] + [(name, text) for name, text in KNOWN if "\n" in text]
+    return [*KNOWN, *((name, form) for name, text in whole for form in forms(name, text))]
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license string, text string")
+    return spark.createDataFrame(known_licenses(), "license string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, license, lines, notices) of every document: the licence that its entire text is, or null; how many of its
     lines are a licence's entire text; and the licences of these lines, in order, joined by commas.
 
-    `known` is a table (license, text); digests are joined, and Spark broadcasts the table only where it knows it to be
-    small. A line is compared as a text of its own. Null and empty texts have no licence and no lines. Repeated rows have
-    equal results; rows with one id and different texts have their own. Other columns are left out. The texts are read
-    once and not shuffled: only digests are.
+    `known` is a table (license, text), titles included where texts come with them; digests are joined, and Spark
+    broadcasts the table only where it knows it to be small. Every text and every line is looked up, a line as a text of its
+    own: those whose words apart from the spellings have a short digest that is none of the table's cannot match. Null and empty texts
+    have no licence and no lines. Repeated rows have equal results; rows with one id and different texts have their own.
+    Other columns are left out. The texts are read once and not shuffled: only digests are.
     """
-    codes = known_digests(known)
+    codes = stored(known_digests(known), "licenses")
+    marks = [r.mark for r in codes.select("mark").distinct().collect()]  # at most MARKS numbers
+    codes = codes.drop("mark")
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    hint = t.rlike(HINT)
-    lines = F.when(hint, F.transform(F.filter(F.split(t, "\n"), lambda x: x.rlike(HINT)), digest))
-    rows = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(t).alias("of"), F.when(hint, digest(t)).alias("whole"), lines.alias("wanted"))
+    plain = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(t).alias("of"), _words(t).alias("words"))
+    plain = plain.withColumn("rest", _spelled_once(F.col("words")))
+    plain = plain.withColumn("whole", F.trim(F.regexp_replace("rest", "[ \n]+", " "))).withColumn("parts", F.split("rest", "\n"))
+    hits = F.transform("parts", lambda x: _mark(F.trim(x)).isin(marks))
+    plain = plain.withColumn("hits", hits).withColumn("any", F.exists("hits", lambda x: x))
+    lines = F.filter(F.split("words", "\n"), lambda x, i: F.get("hits", i))
+    rows = plain.select(
+        "id",
+        "of",
+        F.when(_mark(F.col("whole")).isin(marks), F.sha2(_usual(F.col("words")), 256)).alias("whole"),
+        F.when(F.col("any"), F.transform(lines, lambda x: F.sha2(_usual(x), 256))).alias("wanted"),
+    )
     rows = stored(rows, "digests")
-    exploded = rows.filter("size(wanted) > 0").select("id", "of", F.posexplode("wanted").alias("at", "digest")).distinct()
-    matched = exploded.join(codes, "digest").groupBy("id", "of").agg(F.sort_array(F.collect_list(F.struct("at", "license"))).alias("m"))
+    exploded = rows.filter("size(wanted) > 0").select("id", "of", F.posexplode("wanted").alias("at", "digest"))
+    matched = exploded.join(codes, "digest").distinct().groupBy("id", "of").agg(F.sort_array(F.collect_list(F.struct("at", "license"))).alias("m"))
     notices = matched.select(
         F.col("id").alias("m_id"),
         F.col("of").alias("m_of"),
@@ -102,7 +197,7 @@ def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "tex
 
 
 def scan_sql(documents: str = "documents") -> str:
-    """The scan with the built-in table, in plain SQL; every doc_id is taken to be one row."""
+    """The scan with KNOWN alone, in plain SQL; every doc_id is taken to be one row."""
     known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
     hint = HINT.replace("(?i)", "")
     return f"""

@@ -35,3 +35,35 @@ def test_repeats_null_ids_and_empty_tables(spark):
     assert got == [("1", "None", 0, ""), ("1", "None", 2, "MIT,MIT"), ("1", "None", 2, "MIT,MIT"), ("None", "MIT", 1, "MIT"), ("None", "None", 0, "")]
     assert licenses.scan(docs.limit(0), known).count() == 0
     assert licenses.scan(docs, known.limit(0)).filter("license is not null or lines > 0").count() == 0
+
+
+def test_usual_files_of_common_licenses(spark):
+    by = dict(reversed(licenses.known_licenses()))
+    mit, texts = licenses.KNOWN[1][1], {f.stem: f.read_text() for f in licenses.Path(licenses.__file__).with_name("license_texts").glob("*.txt")}
+    wrapped = {n: "\n".join(licenses.re.sub(r"(.{1,60})(?: |$)", r"\1\n", p) for p in texts[n].split("\n")) for n in ("BSD-2-Clause", "BSD-3-Clause", "ISC")}
+    cases = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A. Holder\n\n" + mit),
+        ("MIT", "Copyright (c) 2020 A. Holder\n\nThe MIT License (MIT)\n\n" + mit.replace("sublicense", "sub-license")),
+        ("MIT", mit.replace("sublicense", "sub\nlicense")),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright 2021, B\nAll rights reserved.\n\n" + wrapped["BSD-3-Clause"]),
+        ("BSD-3-Clause", texts["BSD-3-Clause"].replace("HOLDER OR", "OWNER OR").replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+        ("BSD-2-Clause", wrapped["BSD-2-Clause"]),
+        ("ISC", "ISC License\n\n" + wrapped["ISC"]),
+        ("Apache-2.0", texts["Apache-2.0"]),
+        ("Apache-2.0", texts["Apache-2.0"].split("   APPENDIX")[0]),
+        *((n, t) for n, t in texts.items()),
+        (None, "MIT License"),
+        (None, "Apache License\n\n" + mit),
+        (None, texts["GPL-3.0"].replace("free software", "software", 1)),
+    ]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT"} <= by.keys()
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs, licenses.known_texts(spark)).collect()}
+    assert [got[i] for i in range(len(cases))] == [n for n, _ in cases]
+
+
+def test_texts_without_the_usual_words_and_empty_ones_in_the_table(spark):
+    known = spark.createDataFrame([("WTFPL", "You just do what the fuck you want to."), ("none", "Copyright (c) 2020 X")], "license string, text string")
+    docs = spark.createDataFrame([(1, "a\nYou just DO what the fuck you want to"), (2, "\n\n"), (3, "you just do what the fuck you want to")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.license, r.lines, r.notices) for r in licenses.scan(docs, known).collect()}
+    assert got == {1: (None, 1, "WTFPL"), 2: (None, 0, ""), 3: ("WTFPL", 1, "WTFPL")}
