@@ -23,14 +23,18 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Encodes lists of texts; remembers the last CHUNKS to twice CHUNKS different chunks that followed a space."""
+    """Encodes lists of texts; remembers the last CHUNKS to twice CHUNKS different chunks that followed a space.
 
-    def __init__(self, path: str, chunks: int = CHUNKS):
+    With `special_as_text` the strings of special tokens are ordinary text; without, they are the special tokens, as by the
+    library's default.
+    """
+
+    def __init__(self, path: str, chunks: int = CHUNKS, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.signs = {s: self.whole([s])[0] for s in ["\n", *_SIGNS]} | {"": b""}
         self.most = chunks
@@ -133,7 +137,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker process and file."""
+    """One for each worker process and file, with the library's default for special tokens."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, special_as_text=False)
     return _encoders[path]

@@ -113,3 +113,16 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark, plain):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert pack(token_pieces(docs, PATH), 0, ["doc_id", "piece"]).count() == 0
+
+
+def test_special_tokens_as_by_the_library(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext|> <|endo ftext|> plain words", "plain words", "<|endoftext|> plain words"]
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert wanted[0] == [64, 220, 50256, 275]
+    coder = bpe.encoder(PATH)
+    for _ in range(2):
+        assert [ids_of(x) for x in coder.ids(texts)] == wanted
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: ids_of(r.ids) for r in token_pieces(docs, PATH).collect()}
+    assert got == {i: [*w, 0] for i, w in enumerate(wanted)}
