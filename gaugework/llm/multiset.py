@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
 A fingerprint is the sum of one vector for each paragraph: LANES lanes modulo 2^64 hashed from the whole paragraph, and
-WIDTH lanes modulo 2^16 to which each word shingle of the paragraph adds or subtracts 1 at one place. Sums do not depend on
+WIDTH lanes modulo 2^32 to which each word shingle of the paragraph adds or subtracts 1 at one place. Sums do not depend on
 the order of paragraphs, and paragraphs can be added to or taken from a fingerprint without the rest of the text.
 """
 
@@ -53,7 +53,7 @@ def _slice_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     shingle = between(words, at, at + width[line], _WORDS_INVERSE)
     place = line_doc[line] * WIDTH + (shingle & np.uint64(WIDTH - 1)).astype(np.int64)
     sign = 1.0 - 2.0 * ((shingle >> np.uint64(40)) & np.uint64(1))
-    wide = np.bincount(place, sign, docs * WIDTH).astype(np.int64).astype(np.uint16)
+    wide = np.bincount(place, sign, docs * WIDTH).astype(np.int64).astype(np.uint32)
     return dense, wide.reshape(docs, WIDTH)
 
 
@@ -61,18 +61,18 @@ def vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(dense, wide) of each text; its paragraphs are its lines with a word."""
     parts = [_slice_vectors(*piece) for piece in slices(pa.array(texts, pa.large_string()))]
     if not parts:
-        return np.zeros((0, LANES), np.uint64), np.zeros((0, WIDTH), np.uint16)
+        return np.zeros((0, LANES), np.uint64), np.zeros((0, WIDTH), np.uint32)
     return np.concatenate([d for d, _ in parts]), np.concatenate([w for _, w in parts])
 
 
 def packed(dense: np.ndarray, wide: np.ndarray) -> list[str]:
-    raw = np.concatenate([np.ascontiguousarray(dense, "<u8").view(np.uint8), np.ascontiguousarray(wide, "<u2").view(np.uint8)], axis=1)
+    raw = np.concatenate([np.ascontiguousarray(dense, "<u8").view(np.uint8), np.ascontiguousarray(wide, "<u4").view(np.uint8)], axis=1)
     return [base64.b64encode(r.tobytes()).decode() for r in raw]
 
 
 def unpacked(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.array([np.frombuffer(base64.b64decode(p), np.uint8) for p in prints]).reshape(len(prints), -1)
-    return np.ascontiguousarray(raw[:, : 8 * LANES]).view("<u8"), np.ascontiguousarray(raw[:, 8 * LANES :]).view("<u2")
+    return np.ascontiguousarray(raw[:, : 8 * LANES]).view("<u8"), np.ascontiguousarray(raw[:, 8 * LANES :]).view("<u4")
 
 
 def changed(fingerprint: str, added: list[str] = (), removed: list[str] = ()) -> str:
@@ -81,15 +81,15 @@ def changed(fingerprint: str, added: list[str] = (), removed: list[str] = ()) ->
     for texts, sign in ((added, 1), (removed, -1)):
         d, w = vectors(list(texts))
         dense = dense + np.uint64(sign % 2**64) * d.sum(axis=0, dtype=np.uint64)
-        wide = wide + np.uint16(sign % 2**16) * w.sum(axis=0, dtype=np.uint16)
+        wide = wide + np.uint32(sign % 2**32) * w.sum(axis=0, dtype=np.uint32)
     return packed(dense, wide)[0]
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """0 to 1 for each pair: 1 for equal fingerprints, else the estimated share of common shingles (repeats count)."""
-    x, y = a[1].astype(np.int16).astype(np.float64), b[1].astype(np.int16).astype(np.float64)
-    apart = ((a[1] - b[1]).astype(np.int16).astype(np.float64) ** 2).sum(axis=1)
-    whole = (x**2).sum(axis=1) + (y**2).sum(axis=1)
+    x, y = a[1].astype(np.int32).astype(np.int64), b[1].astype(np.int32).astype(np.int64)
+    apart = ((x - y).astype(np.float64) ** 2).sum(axis=1)
+    whole = (x.astype(np.float64) ** 2).sum(axis=1) + (y.astype(np.float64) ** 2).sum(axis=1)
     same = (a[0] == b[0]).all(axis=1) & (a[1] == b[1]).all(axis=1)
     share = np.clip(1 - np.divide(apart, whole, out=np.ones_like(apart), where=whole > 0), 0, 1)
     return np.where(same, 1.0, share)

@@ -72,3 +72,11 @@ def test_one_row_and_empty_table(spark):
     one = spark.createDataFrame([(1, "abcd")], "doc_id bigint, text string")
     assert multiset.fingerprints(one).first().edited_sha256 == hashlib.sha256(b"abab").hexdigest()
     assert multiset.fingerprints(one.limit(0)).count() == 0
+
+
+def test_likeness_of_long_repetitive_texts():
+    for many, few in ((100_000, 50_000), (70_000, 35_000), (40_000, 20_000)):
+        got = multiset.likeness(multiset.vectors(["word " * many]), multiset.vectors(["word " * few]))[0]
+        assert abs(got - 0.8) < 0.001
+    line = "word " * 100_000
+    assert multiset.changed(print_of("a b\n" + line), removed=[line]) == print_of("a b")
