@@ -21,7 +21,7 @@ from gaugework.session import scratch_path
 
 BASE = 50_304  # no id of the vocabulary is as large
 RULES = (1 << 16) - BASE
-ROUNDS = 6
+ROUNDS = 6  # a round makes at most this part of all rules
 LEAST_COUNT = 8
 BLOCK_TOKENS = 1 << 20
 TABLE_BITS = 20
@@ -29,18 +29,30 @@ ROWS_AT_ONCE = 256
 NONE = np.uint32(0xFFFFFFFF)
 
 
-def _frequent(pairs: np.ndarray, valid: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(pairs: np.ndarray, valid: np.ndarray, most: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, rank of the pair at each place or NONE): the most frequent ones, counted exactly over the whole block.
 
-    Every pair is hashed to a slot; a slot counts the last pair written to it, so a rare clash can hide a pair until the
-    next round, but no count is wrong.
+    Every pair is hashed to a slot, in every turn to another; a slot counts the last pair written to it, so a clash can hide
+    a pair in one turn, but no count is wrong. Where no slot has a frequent pair, the hidden ones are counted one by one.
     """
-    slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    salt = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) % 2**64)
+    slot = ((pairs * salt) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
     owner = np.zeros(1 << TABLE_BITS, np.uint64)
     owner[slot[valid]] = pairs[valid]
     own = valid & (owner[slot] == pairs)
     counts = np.bincount(slot[own], minlength=1 << TABLE_BITS)
     slots = np.flatnonzero(counts >= LEAST_COUNT)
+    if not len(slots):
+        found, n = np.unique(pairs[valid & ~own], return_counts=True)
+        order = np.lexsort((found, -n))
+        chosen = found[order[n[order] >= LEAST_COUNT][:most]]
+        rank = np.full(len(pairs), NONE)
+        if len(chosen):
+            by_value = np.argsort(chosen)
+            at = np.minimum(np.searchsorted(chosen[by_value], pairs), len(chosen) - 1)
+            hit = valid & (chosen[by_value][at] == pairs)
+            rank[hit] = by_value[at[hit]].astype(np.uint32)
+        return chosen, rank
     slots = slots[np.lexsort((owner[slots], -counts[slots]))][:most]
     rank = np.full(1 << TABLE_BITS, NONE)
     rank[slots] = np.arange(len(slots), dtype=np.uint32)
@@ -48,7 +60,8 @@ def _frequent(pairs: np.ndarray, valid: np.ndarray, most: int) -> tuple[np.ndarr
 
 
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules, first symbol of each document) of a block: frequent pairs become rules, round by round.
+    """(symbols, rules, first symbol of each document) of a block: frequent pairs become rules, round by round,
+    until no pair is frequent or the rules run out.
 
     No pair crosses from one document to the next. In a round many pairs are replaced at once: where two would overlap,
     the more frequent one is, and in a run of equal pairs every other one.
@@ -58,11 +71,11 @@ def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first[starts] = True
     rules: list[np.ndarray] = []
     made = 0
-    for left in range(ROUNDS, 0, -1):
-        if len(symbols) < 2 or made == RULES:
-            break
+    turn = 0
+    while len(symbols) > 1 and made < RULES:
         pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        chosen, rank = _frequent(pairs, ~first[1:], (RULES - made + left - 1) // left)
+        chosen, rank = _frequent(pairs, ~first[1:], min(RULES - made, -(-RULES // ROUNDS)), turn)
+        turn += 1
         if not len(chosen):
             break
         before = np.concatenate([[NONE], rank[:-1]])

@@ -67,3 +67,15 @@ def test_nulls_repeats_small_blocks_and_clashing_columns(spark, monkeypatch):
 def test_empty_table(spark):
     files, found = repair.round_trip(spark.createDataFrame([], "doc_id bigint, text string"), PATH)
     assert found.count() == 0 and repair.block_starts(files).count() == 0
+
+
+def test_rounds_go_on_while_pairs_are_frequent(monkeypatch):
+    assert check([np.zeros(100_000, int)]) < 0.001
+    phrase = np.random.default_rng(5).permutation(50_000)[:1000]
+    assert check([phrase] * 300) < 0.004
+    monkeypatch.setattr(repair, "TABLE_BITS", 3)  # nearly all pairs are hidden by others
+    ids = np.concatenate([phrase] * 20)
+    symbols, rules, _ = repair.compress(ids, np.array([0]))
+    pairs = np.stack([symbols[:-1], symbols[1:]])
+    assert np.unique(pairs, axis=1, return_counts=True)[1].max() < repair.LEAST_COUNT
+    assert np.array_equal(repair.expand(symbols, rules), ids)
