@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import licenses, pii, toxicity
+from gaugework.llm import licenses, periodic, phrases, pii, substrings, toxicity
 from gaugework.llm.common import documents
 from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.multiset import fingerprints
@@ -135,3 +135,38 @@ def op2_canonical_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_canonical_digest"] = licenses.scan_sql()
+
+
+@query
+def op11_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    found = periodic.periodic_runs(docs).select("doc_id", "periodic.*")
+    best = found.withColumn("best", periodic.strongest("runs"))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_later_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_seed_extend"] = substrings.later_repeats_sql()
+
+
+@query
+def op13_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir).select("text", "lang"))
+
+
+ORACLES["op13_prefix_free"] = phrases.collocations_sql()
