@@ -7,6 +7,8 @@ rows are read once and nothing but one row per group is shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -167,6 +169,94 @@ def refutation_report(
     row = original.crossJoin(F.broadcast(placebo.agg(F.avg("effect").alias("placebo_effect")))).crossJoin(
         F.broadcast(noise.agg(F.avg("effect").alias("random_cause_effect")))
     )
+    return _judged(row, tolerance)
+
+
+Spec = tuple[str, str, list[str]]
+
+
+def _used(specs: list[Spec]) -> list[str]:
+    return list(dict.fromkeys(c for t, y, zs in specs for c in (t, y, *zs)))
+
+
+def effects(df: DataFrame, specs: list[Spec], extra: list[str] | None = None) -> DataFrame:
+    """Effects of several (treatment, outcome, confounders) in one pass: treatment, outcome, rep, effect.
+
+    Each spec's rows are those without a null in its columns. With `extra`, columns of noise, there is one row for each of
+    them (rep 1, 2, ...) with that column as one more confounder; without, rep is 0.
+    """
+    reps = extra or [None]
+    df = df.select(*(F.col(c).cast("double").alias(c) for c in _used(specs)), *(extra or []))
+    sums: dict[str, Column] = {}
+    for i, (t, y, zs) in enumerate(specs):
+        cols = [t, y, *zs]
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        own = {c: F.when(whole, F.col(c)) for c in [*cols, *(extra or [])]}
+        for a, b in _pairs(cols):
+            sums[f"s{i}{_cov(a, b)}"] = F.covar_pop(own[a], own[b])
+        for e in extra or []:
+            for c in [e, *cols]:
+                sums[f"s{i}{_cov(e, c)}"] = F.covar_pop(own[e], own[c])
+    # the one row of sums becomes one row for each spec and repetition, and every spec is swept over its repetitions
+    row = df.agg(*(c.alias(name) for name, c in sums.items()))
+    out = None
+    for i, (t, y, zs) in enumerate(specs):
+        cols = [t, y, *zs]
+        blocks = []
+        for n, e in enumerate(reps, 1 if extra else 0):
+            own = {_cov(a, b): F.col(f"s{i}{_cov(a, b)}") for a, b in _pairs(cols)}
+            if e is not None:
+                own |= {_cov("__e", "__e" if c == e else c): F.col(f"s{i}{_cov(e, c)}") for c in [e, *cols]}
+            blocks.append(F.struct(F.lit(n).alias("rep"), *(c.alias(name) for name, c in own.items())))
+        more = ["__e"] if extra else []
+        swept = _sweep(row.select(F.inline(F.array(*blocks))), [*cols, *more], [*zs, *more], t, y, "effect")
+        part = swept.select(F.lit(t).alias("treatment"), F.lit(y).alias("outcome"), "rep", "effect")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def shuffled_treatments(
+    df: DataFrame, key: str | list[str], specs: list[Spec], reps: int, seed: int = 42, limit: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """The rows with `<treatment>__<rep>`: the value `rep` places further on in md5 order of the key, from the last rows on
+    to the first. One random order serves all treatments and repetitions."""
+    names = [key] if isinstance(key, str) else key
+    rows = df.select(*names, *(F.col(c).cast("double").alias(c) for c in _used(specs) if c not in names))
+    placed = hash_index(rows, key, seed, None, "__i")
+    total = rows.agg(F.count(F.lit(1)).alias("__total"))
+    head = rows.withColumn("__h", hash_key(key, seed)).orderBy("__h").limit(reps)
+    past = F.row_number().over(W.orderBy("__h")) + F.col("__total")
+    again = attach_row(head, total).withColumn("__i", past.cast("long")).drop("__h", "__total")
+    ring = placed.withColumn("__real", F.lit(True)).unionByName(again.withColumn("__real", F.lit(False)))
+    treatments = list(dict.fromkeys(t for t, _, _ in specs))
+
+    def build(frame):
+        return {f"{t}__{r}": F.lead(t, r).over(frame.window) for t in treatments for r in range(1, reps + 1)}
+
+    return over_groups(ring, [], ["__i"], build, after=reps, limit=limit, position="__i", trusted=True).filter("__real")
+
+
+def refutations(
+    df: DataFrame, key: str | list[str], specs: list[Spec], reps: int = 1, seed: int = 42, tolerance: float = 0.2
+) -> DataFrame:
+    """One row for each spec: the effect, its placebo and random-cause refutations (mean over the repetitions), reliability.
+
+    The rows are put in random order once and then read once for the effects and the random causes and once for the
+    placebos of all specs and repetitions; only rows of sums are joined.
+    """
+    df = df.dropna(subset=_used(specs))
+    noise = [f"__noise_{r}" for r in range(1, reps + 1)]
+    noisy = df.withColumns({c: hash_uniform(hash_key(key, seed + r)) for r, c in enumerate(noise, 1)})
+    original = effects(df, specs).select("treatment", "outcome", F.col("effect").alias("original_effect"))
+    shuffled = shuffled_treatments(df, key, specs, reps, seed)
+    fakes = [(f"{t}__{r}", y, zs) for t, y, zs in specs for r in range(1, reps + 1)]
+    placebo = effects(shuffled, fakes).withColumn("treatment", F.regexp_replace("treatment", "__[0-9]+$", ""))
+    mean = lambda rows, name: rows.groupBy("treatment", "outcome").agg(F.avg("effect").alias(name))
+    out = original.join(mean(placebo, "placebo_effect"), ["treatment", "outcome"])
+    return _judged(out.join(mean(effects(noisy, specs, noise), "random_cause_effect"), ["treatment", "outcome"]), tolerance)
+
+
+def _judged(row: DataFrame, tolerance: float) -> DataFrame:
     bound = F.abs("original_effect") * tolerance
     return row.withColumns(
         {

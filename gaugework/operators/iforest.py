@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -65,6 +65,35 @@ class IsolationForest:
     steps: int
     offset: float = field(default=-0.5)
 
+    @classmethod
+    def of(cls, nodes: pd.DataFrame, **settings) -> IsolationForest:
+        """Forest of a node table as in NODE_SCHEMA."""
+        kept = sorted(nodes["tree"].unique())
+        width = int(nodes["node"].max()) + 1
+
+        def grid(column: str, fill: float, dtype) -> np.ndarray:
+            out = np.full((len(kept), width), fill, dtype=dtype)
+            out[np.searchsorted(kept, nodes["tree"]), nodes["node"]] = nodes[column]
+            return out
+
+        kinds = {"feature": (-1, np.int64), "cut": (0.0, float), "left": (0, np.int64), "right": (0, np.int64), "path": (0.0, float)}
+        return cls(**{name: grid(name, *kind) for name, kind in kinds.items()}, **settings)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Node table and one row of settings under a path."""
+        trees, width = self.feature.shape
+        tree, node = np.divmod(np.arange(trees * width), width)
+        columns = {name: getattr(self, name).ravel() for name in ("feature", "cut", "left", "right", "path")}
+        nodes = pd.DataFrame({"tree": tree, "node": node, **columns})
+        spark.createDataFrame(nodes, NODE_SCHEMA).write.parquet(f"{path}/nodes")
+        row = [(self.cols, float(self.norm), self.steps, float(self.offset))]
+        spark.createDataFrame(row, "cols array<string>, norm double, steps int, offset double").write.parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> IsolationForest:
+        settings = spark.read.parquet(f"{path}/settings").first().asDict()
+        return cls.of(spark.read.parquet(f"{path}/nodes").toPandas(), **settings)
+
     def raw_score(self) -> Column:
         """-2^(-mean depth / expected depth): lower is more unusual."""
         # nodes of all trees in flat arrays; a leaf leads back to itself, so every row takes the same number of steps
@@ -134,24 +163,8 @@ def fit_isolation_forest(
         return pd.DataFrame(grown, columns=["tree", "node", "feature", "cut", "left", "right", "path"])
 
     nodes = picked.select("tree", "__h", *names).groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
-    kept = sorted(nodes["tree"].unique())
-    width = int(nodes["node"].max()) + 1
-
-    def grid(column: str, fill: float, dtype) -> np.ndarray:
-        out = np.full((len(kept), width), fill, dtype=dtype)
-        out[np.searchsorted(kept, nodes["tree"]), nodes["node"]] = nodes[column]
-        return out
-
-    forest = IsolationForest(
-        cols,
-        grid("feature", -1, np.int64),
-        grid("cut", 0.0, float),
-        grid("left", 0, np.int64),
-        grid("right", 0, np.int64),
-        grid("path", 0.0, float),
-        average_path(min(sample, rows)) or 1.0,
-        math.ceil(math.log2(max(min(sample, rows), 2))),
-    )
+    few = min(sample, rows)
+    forest = IsolationForest.of(nodes, cols=cols, norm=average_path(few) or 1.0, steps=math.ceil(math.log2(max(few, 2))))
     # the quantile reads the scores several times, so they are kept until it is known
     scores = df.select(forest.raw_score().alias("score")).persist()
     forest.offset = float(quantiles(scores, ["score"], [contamination]).first()["quantile"])

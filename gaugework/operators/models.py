@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections.abc import Callable
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
@@ -19,6 +22,8 @@ from gaugework.operators.columns import clip
 from gaugework.operators.metrics import class_weights, confusion, fold_summary, regression_metrics
 from gaugework.operators.recommend import what_if_inputs
 from gaugework.operators.sampling import folds, group_holdout
+from gaugework.session import scratch_path
+from gaugework.sources.tables import write_table
 
 # Fixed feature list of the failure model.
 MACHINE_FEATURES = [
@@ -59,11 +64,21 @@ def score_failures(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def fit_life_regressor(
-    df: DataFrame, cols: list[str], label: str = "rul", seed: int = 42, **params
+    df: DataFrame, cols: list[str], label: str = "rul", seed: int = 42, stop: str | None = None, **params
 ) -> PipelineModel:
-    """Gradient-boosted trees on remaining life; `params` are GBTRegressor settings."""
-    gbt = GBTRegressor(featuresCol="__features", labelCol="__label", predictionCol="predicted_rul", seed=seed, **params)
-    train = df.select(*cols, F.col(label).cast("double").alias("__label"))
+    """Gradient-boosted trees on remaining life; `params` are GBTRegressor settings.
+
+    With `stop`, a boolean column, the rows where it is true are held out of the fit, and boosting ends when a round no
+    longer lowers their error by `validationTol` of it; `maxIter` is then the most rounds there may be.
+    """
+    more = {} if stop is None else {"validationIndicatorCol": stop, "validationTol": 1e-3, "checkpointInterval": 10}
+    if stop is not None:
+        # boosting cuts its lineage there
+        df.sparkSession.sparkContext.setCheckpointDir(scratch_path(df.sparkSession, "boosting"))
+    gbt = GBTRegressor(
+        featuresCol="__features", labelCol="__label", predictionCol="predicted_rul", seed=seed, **{**more, **params}
+    )
+    train = df.select(*cols, F.col(label).cast("double").alias("__label"), *([stop] if stop else []))
     return Pipeline(stages=[_vectors(cols), gbt]).fit(train)
 
 
@@ -96,38 +111,67 @@ def draw_params(rng: random.Random) -> dict:
     }
 
 
+def successive_halving(
+    settings: list[dict], judge: Callable[[dict, int], float], rounds: list[int], keep: float = 1 / 3, parallel: int = 4
+) -> tuple[dict, float, list[list[int]]]:
+    """(best setting, its error, numbers of the settings judged in each step).
+
+    Every setting is judged after the first number of rounds; the best share `keep` of them, one at least, goes on to the
+    next number. Ties go to the earlier setting, so the result does not hang on the order in which judges end.
+    """
+    alive = list(range(len(settings)))
+    steps: list[list[int]] = []
+    errors: list[float] = []
+    with ThreadPool(parallel) as pool:
+        for n in rounds:
+            steps.append(alive)
+            errors = pool.map(lambda i, n=n: judge(settings[i], n), alive)
+            ranked = sorted(range(len(alive)), key=lambda j: (errors[j], alive[j]))
+            best, error = alive[ranked[0]], errors[ranked[0]]
+            alive = sorted(alive[j] for j in ranked[: max(1, math.ceil(len(alive) * keep))])
+    return settings[best], error, steps
+
+
 def search_life_params(
-    df: DataFrame, cols: list[str], groups: list[str], label: str = "rul", trials: int = 30, parallel: int = 2,
-    seed: int = 42, draw=draw_params,
+    df: DataFrame, cols: list[str], groups: list[str], label: str = "rul", trials: int = 30, parallel: int = 4,
+    seed: int = 42, draw=draw_params, rounds: list[int] | None = None,
 ) -> tuple[dict, float]:
-    """Random search; every trial is judged on engines held out from its fit. Returns the best setting and RMSE."""
+    """Random search by successive halving over `trials` draws; returns the best setting and its RMSE.
+
+    Every draw is judged on engines held out from its fit, first after few boosting rounds, and the best third of the draws
+    after three times as many, until one to three are left. All fits read one stored split. The last numbers of `rounds`
+    are kept below each draw's own `maxIter`.
+    """
     rng = random.Random(seed)
     settings = [draw(rng) for _ in range(trials)]
-    split = group_holdout(df, groups, 0.2, seed, "__held").select(*cols, label, "__held").persist()
+    spark = df.sparkSession
+    split = group_holdout(df, groups, 0.2, seed, "__held").select(*cols, label, "__held")
+    split = write_table(split, scratch_path(spark, "search"))
     train, held = split.filter(~F.col("__held")), split.filter("__held")
 
-    def judge(params: dict) -> float:
-        model = fit_life_regressor(train, cols, label, seed, **params)
+    def judge(params: dict, n: int) -> float:
+        model = fit_life_regressor(train, cols, label, seed, **{**params, "maxIter": min(n, params["maxIter"])})
         return regression_metrics(score_life(model, held, None), label, "predicted_rul").first()["rmse"]
 
-    with ThreadPool(parallel) as pool:
-        errors = pool.map(judge, settings)
-    split.unpersist()
-    best = min(range(trials), key=lambda i: errors[i])
-    return settings[best], errors[best]
+    best, error, _ = successive_halving(settings, judge, rounds or [3, 9, 27], parallel=parallel)
+    return best, error
 
 
 def cross_validate(
-    df: DataFrame, cols: list[str], key: str | list[str], label: str = "failure", k: int = 5, seed: int = 42, **params
+    df: DataFrame, cols: list[str], key: str | list[str], label: str = "failure", k: int = 5, seed: int = 42,
+    parallel: int = 3, **params
 ) -> DataFrame:
-    """Stratified k-fold F1: mean and spread over the folds."""
-    dealt = folds(df, key, k, [label], seed).select(*cols, label, "fold").persist()
-    scored = None
-    for i in range(k):
+    """Stratified k-fold F1: mean and spread over the folds, which are fitted side by side from one stored fold column."""
+    dealt = folds(df, key, k, [label], seed).select(*cols, label, "fold")
+    dealt = write_table(dealt, scratch_path(df.sparkSession, "folds"))
+
+    def fold(i: int) -> DataFrame:
         model = fit_failure_classifier(dealt.filter(F.col("fold") != i), cols, label, seed=seed, **params)
-        part = score_failures(model, dealt.filter(F.col("fold") == i)).select("fold", label, "failure_pred")
-        scored = part if scored is None else scored.unionByName(part)
-    return fold_summary(confusion(scored, label, "failure_pred", ["fold"]))
+        return score_failures(model, dealt.filter(F.col("fold") == i)).select("fold", label, "failure_pred")
+
+    with ThreadPool(parallel) as pool:
+        parts = pool.map(fold, range(k))
+    return fold_summary(confusion(reduce(DataFrame.unionByName, parts), label, "failure_pred", ["fold"]))
 
 
 def what_if(model: PipelineModel, df: DataFrame, rul: str = "predicted_rul", stress: str = "thermal_stress"):

@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from gaugework.functions.engine import dataset_code
 from gaugework.functions.machine import power_w
 from gaugework.operators import causal as K
 from gaugework.operators import features as X
+from gaugework.operators import recommend as R
 from gaugework.operators.columns import with_literal
 from gaugework.operators.sampling import capped_sample
 from gaugework.operators.sizing import attach_row
@@ -242,3 +244,110 @@ def causal_risk(spark, sf_dir):
 )
 def risk_curve(spark, sf_dir):
     return tidy(K.risk_curve(fitted_effects(machine_rows(spark, sf_dir)), "wear_effect", "baseline_pct"))
+
+
+# ---- the three effects of the pipeline: refuted together, and what follows from them ------------------------------
+
+LOG_SPECS = [WEAR, POWER]
+LOG_SQL = {"log": "SELECT *, proc_temp_c - air_temp_c AS temp_delta FROM clean_log"}
+SCALED_SQL = {
+    **LIFE_SQL,
+    "lz": "SELECT * EXCLUDE (thermal_stress), (thermal_stress - avg(thermal_stress) OVER ()) / (stddev_samp(thermal_stress) OVER () + 1e-6::DOUBLE) "
+    "AS thermal_stress FROM l",
+}
+
+
+def refuted_ctes(source: str, key: str, spec: tuple[str, str, list[str]], tag: str) -> dict[str, str]:
+    """CTEs up to the one-row `tag`: effect, mean effects of the refutations, and whether they are passed."""
+    t, y, zs = spec
+    kept = ", ".join(f"a.{c}" for c in (y, *zs))
+    ctes = {
+        f"{tag}_ring": f"SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', {key}, 42))) AS ring_i, count(*) OVER () AS ring_n FROM {source}"
+    }
+    placebo, noise = [], []
+    for rep in range(1, REPS + 1):
+        ctes[f"{tag}_p{rep}"] = (
+            f"SELECT b.{t} AS {t}, {kept} FROM {tag}_ring a JOIN {tag}_ring b ON b.ring_i = (a.ring_i - 1 + {rep}) % a.ring_n + 1"
+        )
+        ctes |= residual_ctes(f"{tag}_p{rep}", t, y, zs, f"{tag}_pe{rep}")
+        placebo.append(f"SELECT regr_slope(y, t) AS e FROM {last(f'{tag}_pe{rep}', zs)}")
+        ctes[f"{tag}_n{rep}"] = (
+            f"SELECT *, ('0x' || substr(md5(concat_ws('|', {key}, {42 + rep})), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS noise FROM {source}"
+        )
+        ctes |= residual_ctes(f"{tag}_n{rep}", t, y, [*zs, "noise"], f"{tag}_ne{rep}")
+        noise.append(f"SELECT regr_slope(y, t) AS e FROM {tag}_ne{rep}_{len(zs) + 1}")
+    ctes |= residual_ctes(source, t, y, zs, f"{tag}_oe")
+    ctes[tag] = f"""SELECT '{t}' AS treatment, o, p, q, abs(p) < abs(o) * 0.2 AS placebo_passed, abs(q - o) < abs(o) * 0.2 AS random_passed
+  FROM (SELECT regr_slope(y, t) AS o FROM {last(f"{tag}_oe", zs)}), (SELECT avg(e) AS p FROM ({" UNION ALL ".join(placebo)})),
+    (SELECT avg(e) AS q FROM ({" UNION ALL ".join(noise)}))"""
+    return ctes
+
+
+REFUTED_CTES = {
+    **LOG_SQL,
+    **refuted_ctes("log", "udi", WEAR, "rw"),
+    **refuted_ctes("log", "udi", POWER, "rp"),
+    **SCALED_SQL,
+    **refuted_ctes("lz", "event_id", LIFE, "rs"),
+}
+
+
+def scaled_life_rows(spark, sf_dir):
+    """Engine cycles with remaining life, data-set code and thermal stress in standard deviations."""
+    return X.zscore(_life_rows(spark, sf_dir).withColumn("dataset_code", dataset_code()), ["thermal_stress"])
+
+
+def stress_effect(rows, key="event_id"):
+    """One row: cycles of life for each standard deviation of thermal stress, and whether its refutations are passed."""
+    found = K.refutations(rows.withColumn("dataset_code", dataset_code()), key, [LIFE], REPS)
+    return found.select(F.col("original_effect").alias("effect"), "reliable")
+
+
+@register(
+    "effect_refutations",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT treatment, {r("o", 8)} AS original_effect, {r("p", 8)} AS placebo_effect, {r("q", 8)} AS random_cause_effect,
+  placebo_passed, random_passed AS random_cause_passed, placebo_passed AND random_passed AS reliable FROM {tag}"""
+            for tag in ("rw", "rp", "rs")
+        ),
+        "clean_log",
+        "clustered",
+        ctes=REFUTED_CTES,
+    ),
+)
+def effect_refutations(spark, sf_dir):
+    """Wear and power on failures, thermal stress on remaining life: each with both refutations."""
+    log = X.clean_machines(A.machine_log(spark, sf_dir))
+    log = log.withColumns({"power_w": power_w(), "temp_delta": F.col("proc_temp_c") - F.col("air_temp_c")})
+    machines = K.refutations(log, "UDI", LOG_SPECS, REPS)
+    return tidy(machines.unionByName(K.refutations(scaled_life_rows(spark, sf_dir), "event_id", [LIFE], REPS)).drop("outcome"), 8)
+
+
+CUT = "CASE WHEN rul < 20 THEN 0.4 WHEN rul < 50 THEN 0.3 WHEN rul < 80 THEN 0.2 ELSE 0.0 END::DOUBLE"
+
+
+@register(
+    "intervention_by_effect",
+    oracle(
+        f"""SELECT event_id, rul, status, {r(CUT)} AS max_reduction, {r("effect", 8)} AS effect, reliable,
+  {r("CASE WHEN status = 'SUCCESS' THEN best END")} AS best_stress,
+  {r("CASE WHEN status = 'SUCCESS' THEN (thermal_stress - best) / abs(thermal_stress) * 100 END")} AS stress_reduction_pct,
+  {r("CASE status WHEN 'SUCCESS' THEN abs(effect) * (thermal_stress - best) WHEN 'NO_INTERVENTION_NEEDED' THEN 0 END")} AS causal_gain
+FROM (SELECT lz.*, rs.o AS effect, placebo_passed AND random_passed AS reliable, thermal_stress * (1 - {CUT}) AS best,
+    CASE WHEN NOT (placebo_passed AND random_passed) THEN 'CAUSAL_UNRELIABLE'
+      WHEN ({CUT}) = 0 OR thermal_stress <= 0.1 THEN 'NO_INTERVENTION_NEEDED' ELSE 'SUCCESS' END AS status FROM lz, rs)""",
+        "clustered",
+        ctes={**SCALED_SQL, **refuted_ctes("lz", "event_id", LIFE, "rs")},
+    ),
+)
+def intervention_by_effect(spark, sf_dir):
+    """Interventions on scaled stress with the effect estimated from the same engines, if its refutations are passed."""
+    rows = scaled_life_rows(spark, sf_dir)
+    wide = attach_row(rows, stress_effect(rows))
+    out = R.interventions(wide, "thermal_stress", "rul", F.col("effect"), F.col("reliable"))
+    shown = out.select(
+        "event_id", "rul", "status", "max_reduction", (F.round("effect", 8) + 0.0).alias("effect"), "reliable", "best_stress",
+        "stress_reduction_pct", "causal_gain",
+    )
+    return tidy(shown, keep=("effect",))

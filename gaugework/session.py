@@ -43,14 +43,29 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "gauge
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder named by `spark.checkpoint.dir`.
+_local_root: list[str] = []
+
 
-    Only a local-mode session without that setting gets a temporary folder of this machine.
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder named by `spark.checkpoint.dir`.
+
+    Only a local-mode session without that setting gets a temporary folder of this machine, one for the process.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="gaugework-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="gaugework-"))
+    return _local_root[0]
+
+
+def forget_local() -> None:
+    """Local mode only: later steps start from an empty folder, so nothing stored before is found again."""
+    _local_root.clear()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
