@@ -50,14 +50,22 @@ def running_sums(counts: DataFrame, by: list[str], value: str, cols: list[str])
     return out.drop("__b", "__next", *[f"__p_{c}" for c in cols], *extra)
 
 
-def quantiles(df: DataFrame, cols: list[str], shares: list[float], linear: bool = True) -> DataFrame:
-    """Exact quantiles of several columns: one row per (column, share).
+def quantiles(
+    df: DataFrame, cols: list[str], shares: list[float], linear: bool = True, by: str | None = None, overall: str | None = None
+) -> DataFrame:
+    """Exact quantiles of several columns: one row per (column, share), of each group of `by` if it is given.
 
-    Linear interpolation between order statistics, or the nearest one with `linear=False` (halves to even).
+    Linear interpolation between order statistics, or the nearest one with `linear=False` (halves to even). With `overall`
+    there is one more group of that name with all rows; it is added up from the counts of the groups, not from the rows.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = running_sums(counts, ["column"], "value", ["n"])
+    names = [by] if by else []
+    long = df.select(*names, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(names, cols, "column", "value")
+    counts = long.filter(F.col("value").isNotNull()).groupBy(*names, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    if by and overall is not None:
+        whole = counts.groupBy("column", "value").agg(F.sum("n").alias("n")).withColumn(by, F.lit(overall))
+        counts = counts.unionByName(whole)
+    names.append("column")
+    running = running_sums(counts, names, "value", ["n"])
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
 
     def spot(share: float) -> tuple[Column, Column, Column]:
@@ -76,6 +84,6 @@ def quantiles(df: DataFrame, cols: list[str], shares: list[float], linear: bool
             (h - below).alias("part"),
         )
         hits.append(F.when(is_low | is_high, found))
-    rows = running.select("column", F.explode(F.array_compact(F.array(*hits))).alias("hit")).select("column", "hit.*")
+    rows = running.select(*names, F.explode(F.array_compact(F.array(*hits))).alias("hit")).select(*names, "hit.*")
     low, high = F.max("low"), F.max("high")
-    return rows.groupBy("column", "share").agg((low + (high - low) * F.max("part")).alias("quantile"))
+    return rows.groupBy(*names, "share").agg((low + (high - low) * F.max("part")).alias("quantile"))

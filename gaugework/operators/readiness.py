@@ -18,17 +18,21 @@ GATES = {
 
 
 def gate_checks(metrics: DataFrame) -> DataFrame:
-    """One row per gate from rows (metric, value); a missing metric fails its gate."""
+    """One row per gate from rows (metric, value); a missing metric fails its gate, of a repeated one the largest value counts.
+
+    Only the metrics that gates ask for are gathered, one column each.
+    """
+    names = list(dict.fromkeys(m for m, _, _ in GATES.values()))
+    values = wide(metrics.select("metric", F.col("value").cast("double").alias("value")), names)
     gates = F.array(
         *[
-            F.struct(F.lit(name).alias("check"), F.lit(m).alias("__m"), F.lit(op).alias("op"), F.lit(b).alias("bound"))
+            F.struct(F.lit(name).alias("check"), F.lit(m).alias("metric"), F.col(m).alias("value"), F.lit(op).alias("op"), F.lit(b).alias("bound"))
             for name, (m, op, b) in GATES.items()
         ]
     )
-    values = metrics.agg(F.map_from_entries(F.collect_list(F.struct("metric", F.col("value").cast("double")))).alias("v"))
-    rows = values.select("v", F.inline(gates)).withColumn("value", F.try_element_at("v", F.col("__m")))
+    rows = values.select(F.inline(gates))
     passed = F.when(F.col("op") == "<", F.col("value") < F.col("bound")).otherwise(F.col("value") >= F.col("bound"))
-    return rows.select("check", F.col("__m").alias("metric"), "value", F.coalesce(passed, F.lit(False)).alias("passed"))
+    return rows.select("check", "metric", "value", F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
 def readiness(metrics: DataFrame, inputs: dict[str, bool]) -> DataFrame:

@@ -18,6 +18,10 @@ from gaugework.operators.ordered import (
 from gaugework.operators.sizing import attach, attach_row, sized
 
 
+#: Buckets of the random order that draws are looked up in; one is a few rows of a small table, a sort in memory of a large.
+DRAW_BUCKETS = 4096
+
+
 def holdout(
     df: DataFrame, key: str | list[str], share: float = 0.2, by: list[str] | None = None, seed: int = 42,
     name: str = "is_test",
@@ -82,13 +86,28 @@ def one_per_band(df: DataFrame, band: str, key: str | list[str], seed: int = 42)
 
 
 def draw_with_replacement(df: DataFrame, key: str | list[str], n: int, seed: int = 42) -> DataFrame:
-    """`n` draws: each draw hashes to a position and is joined to the row there. Only keys are put in order."""
+    """`n` draws: each draw hashes to a position in the md5 order of the keys and takes the row there.
+
+    Rows are counted by bucket of that order, the draws' positions are found in the running counts, and only the rows of
+    buckets that were hit are put in order; the table itself is not shuffled.
+    """
     keys = [key] if isinstance(key, str) else key
-    indexed = hash_index(df.select(*keys), key, seed, None, "__pos")
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
-    draws = df.sparkSession.range(1, n + 1).withColumnRenamed("id", "draw")
-    picked = attach_row(draws, total).withColumn(
-        "__want", hash_integer(hash_key("draw", seed)) % F.col("__total") + 1
+    spark = df.sparkSession
+    digest = hash_key(key, seed)
+    buckets = max(hash_buckets(spark), DRAW_BUCKETS)
+    rows = df.withColumn("__d", digest).withColumn("__b", hash_bucket(F.col("__d"), buckets))
+    along = W.orderBy("__b")
+    counts = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    counts, _ = sized(counts.withColumn("__upto", F.sum("__n").over(along)))
+    total = counts.agg(F.coalesce(F.max("__upto"), F.lit(0)).alias("__total"))
+    draws = attach_row(spark.range(1, n + 1).withColumnRenamed("id", "draw"), total).filter("__total > 0")
+    draws = draws.withColumn("__want", hash_integer(hash_key("draw", seed)) % F.col("__total") + 1)
+    inside = (F.col("__want") <= F.col("__upto")) & (F.col("__want") > F.col("__upto") - F.col("__n"))
+    # a range join of the draws with at most `buckets` counts
+    hits = draws.join(F.broadcast(counts), inside).select(
+        "draw", "__b", (F.col("__want") - F.col("__upto") + F.col("__n")).alias("__rank")
     )
-    hits = picked.join(indexed, F.col("__want") == F.col("__pos")).select("draw", *keys)
-    return df.join(hits, keys).select("draw", *df.columns)
+    hits, _ = sized(hits)
+    few = rows.join(hits.select("__b").distinct(), "__b", "left_semi")
+    ranked = few.withColumn("__rank", F.row_number().over(W.partitionBy("__b").orderBy("__d")))
+    return ranked.join(hits, ["__b", "__rank"]).select("draw", *df.columns)

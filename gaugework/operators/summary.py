@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugework.functions.machine import MODE_COLUMNS
-from gaugework.operators.sizing import attach_row
+from gaugework.operators.cumulative import quantiles
+from gaugework.operators.sizing import attach, attach_row
 
 
 def _count_if(cond: Column) -> Column:
@@ -44,6 +45,26 @@ def fleet_profile(df: DataFrame, dataset: str = "dataset_id", unit: str = "unit"
     return profile.withColumn(dataset, F.when(F.col("__all") == 1, F.lit("all")).otherwise(F.col(dataset))).drop("__all")
 
 
+def fleet_statistics(df: DataFrame, dataset: str = "dataset_id", rul: str = "rul", stress: str = "thermal_stress") -> DataFrame:
+    """Per data set and overall (`all`): median remaining life, and mean, sample spread, 90 and 95 percent point of the stress.
+
+    The median lies between two rows where it has to; the percent points are values of the nearest row. Nulls are left out;
+    a data set without values has null statistics.
+    """
+    moments = df.rollup(dataset).agg(
+        F.avg(stress).alias("mean_stress"), F.stddev_samp(stress).alias("std_stress"), F.grouping(dataset).alias("__all")
+    )
+    named = F.when(F.col("__all") == 1, F.lit("all")).otherwise(F.col(dataset))
+    moments = moments.withColumn(dataset, named).drop("__all")
+    middle = quantiles(df, [rul], [0.5], by=dataset, overall="all").select(dataset, F.col("quantile").alias("median_rul"))
+    high = quantiles(df, [stress], [0.9, 0.95], linear=False, by=dataset, overall="all")
+    point = lambda share, name: F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(name)
+    high = high.groupBy(dataset).agg(point(0.9, "p90_stress"), point(0.95, "p95_stress"))
+    for side in (middle, high):
+        moments = attach(moments, side, [dataset])
+    return moments.select(dataset, "median_rul", "mean_stress", "std_stress", "p90_stress", "p95_stress")
+
+
 def anomaly_summary(
     df: DataFrame, failure: str = "failure", flag: str = "is_anomaly", prob: str = "failure_prob",
     modes: list[str] = MODE_COLUMNS, high: float = 0.5,

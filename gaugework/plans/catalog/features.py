@@ -10,7 +10,7 @@ from gaugework.operators import columns as C
 from gaugework.operators import features as X
 from gaugework.operators.quality import _count_if
 from gaugework.operators.smoothing import savgol
-from gaugework.operators.summary import fleet_profile
+from gaugework.operators.summary import fleet_profile, fleet_statistics
 from gaugework.plans import adapters as A
 from gaugework.plans.catalog.registry import oracle, r, register, tidy
 from gaugework.plans.engines import clean_cycles, engine_features
@@ -104,6 +104,26 @@ def fleet(spark, sf_dir):
     return tidy(out.withColumn("dataset_id", F.coalesce("dataset_id", F.lit("all"))))
 
 
+def _nearest(column: str, share: float) -> str:
+    return f"list_sort(list({column}))[round_even({share} * (count({column}) - 1), 0)::INT + 1]"
+
+
+@register(
+    "fleet_statistics",
+    oracle(
+        f"""SELECT coalesce(dataset_id, 'all') AS dataset_id, {r("quantile_cont(rul, 0.5)")} AS median_rul, {r("avg(thermal_stress)")} AS mean_stress,
+  {r("stddev_samp(thermal_stress)")} AS std_stress, {r(_nearest("thermal_stress", 0.9))} AS p90_stress,
+  {r(_nearest("thermal_stress", 0.95))} AS p95_stress
+FROM lived GROUP BY ROLLUP (lived.dataset_id)""",
+        "cycles",
+        ctes={"lived": "SELECT *, s11 * s15 AS thermal_stress, max(cycle) OVER (PARTITION BY dataset_id, unit) - cycle AS rul FROM cycles"},
+    ),
+)
+def statistics_of_fleet(spark, sf_dir):
+    """Middle of the remaining lives and the spread of thermal stress, by data set and overall."""
+    return tidy(fleet_statistics(X.engine_physics(X.remaining_life(A.cycles(spark, sf_dir)))))
+
+
 @register(
     "life_profile",
     oracle(
