@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import between, byte_sums, mix, running, slices, word_bounds
+from gaugework.llm.common import between, mix, running, slices, word_bounds
+from gaugework.llm.words import word_codes, word_digests
 
 LENGTHS = (5, 6, 7, 8, 9, 10)
 BASE_LENGTH = 8
@@ -64,7 +65,6 @@ def measure_slice(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
     points = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     chars = points[ends] - points[starts]
-    sums = byte_sums(data)
     out = {"n_words": per_doc(doc), "word_chars": per_doc(doc, chars), "n_symbols": per_doc(doc_of(np.flatnonzero(_SYMBOL[data])))}
 
     breaks = np.flatnonzero(data == 10)
@@ -73,15 +73,18 @@ def measure_slice(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
     with_word = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     line_starts, line_ends = line_starts[with_word], line_ends[with_word]
     line_doc = doc_of(line_starts)
-    salt = mix(np.arange(1, docs + 1, dtype=np.uint64))
-    places, later = _equal_earlier(mix(between(sums, line_starts, line_ends) + salt[line_doc]))
+    # lines of any length are told apart by their bytes, words by 64 bits of a digest of them
+    line_codes, _ = word_codes(data, line_starts, line_ends)
+    places, later = _equal_earlier(line_doc << 32 | line_codes)
     again = places[later]
     out["n_lines"] = per_doc(line_doc)
     out["n_dup_lines"] = per_doc(line_doc[again])
     out["dup_line_chars"] = per_doc(line_doc[again], points[line_ends[again]] - points[line_starts[again]])
 
     out["n_repeat_words"] = np.zeros(docs, np.int64)
-    rolled = running(between(sums, starts, ends), _WORDS)
+    codes, different = word_codes(data, starts, ends)
+    rolled = running(word_digests(different)[codes, 0] if len(codes) else np.zeros(0, np.uint64), _WORDS)
+    salt = mix(np.arange(1, docs + 1, dtype=np.uint64))
     candidates = np.arange(len(starts))
     for length in LENGTHS:
         name = f"dup_{length}gram_chars"
@@ -112,8 +115,8 @@ def _share(part: str, whole: str) -> Column:
 def repetition(docs: DataFrame, text: str = "text", limits: Limits | None = None) -> DataFrame:
     """The documents with the struct column `quality`: the measures and the verdict of each whole text.
 
-    Every word window of each length and every line is hashed by rolling sums; what equals an earlier window or line of
-    the same text counts with its characters. `quality.base_failed`: under 20 words, or over 30 % of the words in
+    Every word window of each length is hashed by rolling sums over digests of its words; lines are compared by their bytes.
+    What equals an earlier window or line of the same text counts with its characters. `quality.base_failed`: under 20 words, or over 30 % of the words in
     eight-word windows that occur twice or more. `quality.kept`: not failed and no share above its limit.
 
     Null and empty texts have no words and fail. Equal rows and extra columns pass through; a column `quality` is
