@@ -1,8 +1,10 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
-A fingerprint is the sum of one vector for each paragraph: LANES lanes modulo 2^64 hashed from the whole paragraph, and
-WIDTH lanes modulo 2^32 to which each word shingle of the paragraph adds or subtracts 1 at one place. Sums do not depend on
-the order of paragraphs, and paragraphs can be added to or taken from a fingerprint without the rest of the text.
+A fingerprint is the sum of one vector for each paragraph: LANES lanes modulo 2^64, the 64 bytes of a BLAKE2b digest of the
+paragraph, and WIDTH lanes modulo 2^32 to which each word shingle of the paragraph adds or subtracts 1 at one place. Sums do
+not depend on the order of paragraphs, and paragraphs can be added to or taken from a fingerprint without the rest of the
+text. It is written as the number of bytes in which every wide lane fits (1, 2 or 4), the lanes, and the wide lanes in that
+width, so equal sums are equal bytes; strings are base64 of them.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gaugework.llm.common import between, byte_sums, mix, running, slices, stored, word_bounds
+from gaugework.llm.common import between, running, slices, stored, word_bounds
+from gaugework.llm.words import word_codes, word_digests
 
 LANES = 8
 WIDTH = 256
 SHINGLE = 3
-_ODD = np.random.default_rng(64).integers(0, 2**63, LANES, np.uint64) * np.uint64(2) + np.uint64(1)
 _WORDS = 0xA24BAED4963EE407
 _WORDS_INVERSE = pow(_WORDS, -1, 2**64)
 
@@ -31,7 +33,6 @@ _WORDS_INVERSE = pow(_WORDS, -1, 2**64)
 def _slice_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     docs = len(offsets) - 1
     starts, ends = word_bounds(data, offsets)
-    sums = byte_sums(data)
     breaks = np.flatnonzero(data == 10)
     line_starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
     line_ends = np.sort(np.concatenate([offsets[1:], breaks]), kind="stable")
@@ -39,13 +40,16 @@ def _slice_vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     full = last_word > first_word
     line_starts, line_ends, first_word, last_word = line_starts[full], line_ends[full], first_word[full], last_word[full]
     line_doc = np.searchsorted(offsets, line_starts, "right") - 1
-    hashed = between(sums, line_starts, line_ends)
-    total = np.zeros((len(hashed) + 1, LANES), np.uint64)
-    np.cumsum(mix(hashed[:, None] * _ODD), axis=0, out=total[1:])
+    raw = data.tobytes()
+    digest = hashlib.blake2b
+    hashed = b"".join([digest(raw[a:b]).digest() for a, b in zip(line_starts.tolist(), line_ends.tolist(), strict=True)])
+    total = np.zeros((len(line_starts) + 1, LANES), np.uint64)
+    np.cumsum(np.frombuffer(hashed, "<u8").reshape(-1, LANES), axis=0, out=total[1:])
     edge = np.searchsorted(line_doc, np.arange(docs + 1))
     dense = total[edge[1:]] - total[edge[:-1]]
 
-    words = running(between(sums, starts, ends), _WORDS)
+    codes, different = word_codes(data, starts, ends)
+    words = running(word_digests(different)[codes, 0] if len(codes) else np.zeros(0, np.uint64), _WORDS)
     width = np.minimum(last_word - first_word, SHINGLE)
     per_line = last_word - first_word - width + 1
     line = np.repeat(np.arange(len(width)), per_line)
@@ -65,14 +69,29 @@ def vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([d for d, _ in parts]), np.concatenate([w for _, w in parts])
 
 
+def packed_bytes(dense: np.ndarray, wide: np.ndarray) -> list[bytes]:
+    signed = wide.view(np.int32)
+    most = np.maximum(signed, ~signed).max(axis=1, initial=0)
+    head = np.ascontiguousarray(dense, "<u8").view(np.uint8)
+    out: list[bytes] = [b""] * len(dense)
+    for width, rows in ((1, most < 1 << 7), (2, (most >= 1 << 7) & (most < 1 << 15)), (4, most >= 1 << 15)):
+        at = np.flatnonzero(rows)
+        lanes = np.ascontiguousarray(signed[at].astype(f"<i{width}")).view(np.uint8)
+        raw = np.concatenate([np.full((len(at), 1), width, np.uint8), head[at], lanes], axis=1)
+        for i, r in zip(at.tolist(), raw, strict=True):
+            out[i] = r.tobytes()
+    return out
+
+
 def packed(dense: np.ndarray, wide: np.ndarray) -> list[str]:
-    raw = np.concatenate([np.ascontiguousarray(dense, "<u8").view(np.uint8), np.ascontiguousarray(wide, "<u4").view(np.uint8)], axis=1)
-    return [base64.b64encode(r.tobytes()).decode() for r in raw]
+    return [base64.b64encode(r).decode() for r in packed_bytes(dense, wide)]
 
 
 def unpacked(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.array([np.frombuffer(base64.b64decode(p), np.uint8) for p in prints]).reshape(len(prints), -1)
-    return np.ascontiguousarray(raw[:, : 8 * LANES]).view("<u8"), np.ascontiguousarray(raw[:, 8 * LANES :]).view("<u4")
+    raws = [base64.b64decode(p) for p in prints]
+    dense = np.array([np.frombuffer(r, "<u8", LANES, 1) for r in raws], np.uint64).reshape(-1, LANES)
+    wide = np.array([np.frombuffer(r, f"<i{r[0]}", WIDTH, 1 + 8 * LANES) for r in raws], np.int32).reshape(-1, WIDTH)
+    return dense, wide.view(np.uint32)
 
 
 def changed(fingerprint: str, added: list[str] = (), removed: list[str] = ()) -> str:
@@ -102,7 +121,7 @@ def edited(text: str, following: str) -> str:
 
 
 NAMES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-FIELDS = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+FIELDS = "n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _measured(texts: list[str]) -> list[pa.Array]:
@@ -113,9 +132,9 @@ def _measured(texts: list[str]) -> list[pa.Array]:
     own = dense[:-1], wide[:-1]
     return [
         pa.array([len(t) for t in texts[:-1]], pa.int64()),
-        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changes], pa.string()),
-        pa.array(packed(*own), pa.string()),
-        pa.array(packed(*new), pa.string()),
+        pa.array([hashlib.sha256(t.encode()).digest() for t in changes], pa.binary()),
+        pa.array(packed_bytes(*own), pa.binary()),
+        pa.array(packed_bytes(*new), pa.binary()),
         pa.array(likeness(own, new)),
         pa.array(likeness(own, (dense[1:], wide[1:]))),
     ]
@@ -131,7 +150,7 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["role", "part", "id", "text", *NAMES]
 
     def open_row(role: int, id: pa.Array, text: str) -> pa.RecordBatch:
-        empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+        empty = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
         return pa.RecordBatch.from_arrays([pa.array([role], pa.int32()), pa.array([part], pa.int32()), id, pa.array([text], pa.string()), *empty], names)
 
     for batch in batches:
@@ -182,4 +201,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     order_of = order_of.select("part", F.coalesce("after", "top").alias("next_part"))
     tails = rows.filter("role = 2").select("part", "id", "text").join(order_of, "part").join(heads, "next_part")
     last = tails.select("id", "text", "next_text").mapInArrow(_joined, f"id {kind}, {FIELDS}")
-    return rows.filter("role = 0").select("id", *NAMES).unionByName(last).withColumnRenamed("id", id)
+    found = rows.filter("role = 0").select("id", *NAMES).unionByName(last)
+    text_of = {name: F.translate(F.base64(name), "\r\n", "") for name in ("fingerprint", "edited_fingerprint")}
+    text_of["edited_sha256"] = F.lower(F.hex("edited_sha256"))
+    return found.withColumns(text_of).withColumnRenamed("id", id)

@@ -80,3 +80,38 @@ def test_likeness_of_long_repetitive_texts():
         assert abs(got - 0.8) < 0.001
     line = "word " * 100_000
     assert multiset.changed(print_of("a b\n" + line), removed=[line]) == print_of("a b")
+
+
+def parity(n, flip):
+    """Digit sums of the binary numbers below n, modulo 2: a and b; or the other way round."""
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_sequences_that_meet_in_every_polynomial_hash_modulo_2_64():
+    for n in (1024, 4096):
+        assert print_of(parity(n, 0)) != print_of(parity(n, 1))
+        assert print_of(" ".join(parity(n, 0))) != print_of(" ".join(parity(n, 1)))
+
+
+def sums(text):
+    """The lanes by their definition."""
+    total = [0] * multiset.LANES
+    for line in text.split("\n"):
+        if line.strip(" \t\r\x0b\x0c"):
+            digest = hashlib.blake2b(line.encode()).digest()
+            for lane in range(multiset.LANES):
+                total[lane] = (total[lane] + int.from_bytes(digest[8 * lane : 8 * lane + 8], "little")) % 2**64
+    return total
+
+
+def test_lanes_against_their_definition():
+    rng = np.random.default_rng(8)
+    texts = ["", " \n\t", *("".join(rng.choice(list("ab é\n\t"), int(n))) for n in rng.integers(1, 400, 60)), "x y\n" * 40_000]
+    dense, wide = multiset.vectors(texts)
+    assert dense.tolist() == [sums(t) for t in texts]
+    shingles = [sum(max(1, len(p) - multiset.SHINGLE + 1) for p in (line.split() for line in t.split("\n")) if p) for t in texts]
+    signed = wide.view(np.int32).astype(np.int64)
+    assert all((s - n) % 2 == 0 and abs(s) <= n for s, n in zip(signed.sum(axis=1), shingles, strict=True))
+    again = multiset.unpacked(multiset.packed(dense, wide))
+    assert np.array_equal(again[0], dense) and np.array_equal(again[1], wide)
+    assert {p[0] for p in multiset.packed_bytes(dense, wide)} == {1, 4}
