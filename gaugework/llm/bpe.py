@@ -1,29 +1,78 @@
-"""Token ids of whole texts by a tokenizers file, with the ids of chunks remembered.
+"""Token ids of whole texts by a tokenizers file, with the ids of words remembered.
 
-A single space before a visible character always begins a new piece of a byte-level BPE, and so does a sign after letters;
-a text is therefore the sum of its chunks between such spaces, and a chunk of letters, one sign or line breaks the sum of
-those. Texts in which the chunks are not sure (a space inside or at the end of longer white space) and texts with the
-string of a special token are encoded whole.
+A single space before a visible character always begins a new piece of a byte-level BPE, so a text is the sum of its chunks
+between such spaces. A chunk of lines, each of letters and at most one sign behind them, is the sum of its words, signs and
+line breaks; any other chunk is encoded as it is. Texts in which the chunks are not sure (a space inside or at the end of
+longer white space) and texts with the string of a special token are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import compress
-from operator import not_
+from collections.abc import Iterator
 
 import numpy as np
-
-CHUNKS = 250_000
-LONGEST = 64
-_SIGNS = frozenset(".,;:!?%&*#$")
+import pyarrow as pa
+import xxhash
+
+from gaugework.llm.common import slices
+from gaugework.llm.words import word_codes
+
+#: Strings that are remembered, with some 40 bytes each; when there are more, all are forgotten.
+CHUNKS = 1_000_000
+SLICE = 1 << 20
+_SIGNS = b".,;:!?%&*#$"
+_MARK = np.zeros(256, bool)
+_MARK[[10, *_SIGNS]] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
 _UNSURE = re.compile(r"\s (?:\s|\Z)|<\|")
 _encoders: dict[str, Encoder] = {}
 
 
+class Memory:
+    """Ids of strings, found by 128-bit digests of the strings in sorted arrays."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.flat = np.empty(1 << 16, np.uint32)
+        self.used = self.strings = 0
+
+    def put(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the ids of each string, not yet under a digest."""
+        new = np.frombuffer(b"".join(ids), "<u4")
+        size = np.array([len(x) for x in ids], np.int64) // 4
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.empty(self.used + 2 * len(new), np.uint32)])
+        self.flat[self.used : self.used + len(new)] = new
+        place = self.used + np.cumsum(size) - size
+        self.used += len(new)
+        return place, size
+
+    def find(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the ids of each string; the number is -1 for an unknown one."""
+        place, size = np.zeros(len(digests), np.int64), np.full(len(digests), -1, np.int64)
+        for high, low, at, n in self.runs:
+            spot = np.minimum(np.searchsorted(high, digests[:, 0]), len(high) - 1)
+            hit = (high[spot] == digests[:, 0]) & (low[spot] == digests[:, 1])
+            place[hit], size[hit] = at[spot[hit]], n[spot[hit]]
+        return place, size
+
+    def add(self, digests: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
+        """Keeps strings with different digests; runs are merged so that each is over twice as long as the next."""
+        if not len(digests):
+            return
+        self.strings += len(digests)
+        run = [digests[:, 0], digests[:, 1], place.astype(np.uint32), size.astype(np.int32)]
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            run = [np.concatenate(x) for x in zip(self.runs.pop(), run, strict=True)]
+        order = np.argsort(run[0])
+        self.runs.append(tuple(x[order] for x in run))
+
+
 class Encoder:
-    """Encodes lists of texts; remembers the last CHUNKS to twice CHUNKS different chunks that followed a space.
+    """Encodes texts and remembers up to `chunks` different strings.
 
     With `special_as_text` the strings of special tokens are ordinary text; without, they are the special tokens, as by the
     library's default.
@@ -36,11 +85,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.signs = {s: self.whole([s])[0] for s in ["\n", *_SIGNS]} | {"": b""}
+        self.marks = self.whole([chr(b) for b in np.flatnonzero(_MARK)])
         self.most = chunks
-        self.recent: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        self.starts: dict[str, bytes] = {}
+        self.memory = Memory()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Without memory: little-endian unsigned 32-bit ids of each text."""
@@ -56,83 +103,131 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Puts the ids of chunks that are not in `recent` into it: of letters, of letters and a sign, of two of these with
-        a line break between them, and of any others encoded whole."""
-        before, recent = self.before, self.recent
-        found = {c: before[c] for c in chunks if c in before} if before else {}
-        words: set[str] = set()
-        starts: set[str] = set()
-        split: list[tuple[str, tuple[str, str, str, str]]] = []
-        others: list[str] = []
-        for c in chunks:
-            if c in found:
-                continue
-            if c.isalpha():
-                words.add(c)
-                continue
-            left, line, right = c.partition("\n")
-            word, sign = (left[:-1], left[-1:]) if left[-1:] in _SIGNS else (left, "")
-            start, mark = (right[:-1], right[-1:]) if right[-1:] in _SIGNS else (right, "")
-            if word.isalpha() and (start.isalpha() or not line):
-                split.append((c, (word, sign, start, mark)))
-                words.add(word)
-                if line:
-                    starts.add(start)
-            else:
-                others.append(c)
-        known = {c: recent[c] for c in words if c in recent}
-        listed = [c for c in words if c not in known and c not in found]
-        found.update(zip(listed, self._lines(listed, " "), strict=True))
-        heads = {c: self.starts[c] for c in starts if c in self.starts}
-        listed = [c for c in starts if c not in heads]
-        heads.update(zip(listed, self._lines(listed, ""), strict=True))
-        self.starts.update(heads)
-        signs = self.signs
-        for c, (word, sign, start, mark) in split:
-            ids = (found.get(word) or known[word]) + signs[sign]
-            found[c] = ids + signs["\n"] + heads[start] + signs[mark] if start else ids
-        found.update(zip(others, self.whole([" " + c for c in others]), strict=True))
-        recent.update(found)
-
-    def _forget(self, keep: int) -> None:
-        """Called between lists of texts: the older half goes when the newer one is full."""
-        if len(self.recent) > keep:
-            self.before, self.recent = self.recent, {}
-        if len(self.starts) > keep // 8:
-            self.starts = {}
+    def _places(self, strings: list[str], lead: str, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the ids of `lead` and each of the different strings."""
+        if not strings:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        digest = xxhash.xxh3_128_digest
+        digests = np.frombuffer(b"".join([digest(lead + s) for s in strings]), np.uint64).reshape(-1, 2)
+        place, size = self.memory.find(digests)
+        new = np.flatnonzero(size < 0)
+        unknown = [strings[i] for i in new.tolist()]
+        ids = self._lines(unknown, lead) if letters else self.whole([lead + s for s in unknown])
+        place[new], size[new] = self.memory.put(ids)
+        self.memory.add(digests[new], place[new], size[new])
+        return place, size
+
+    def _unsure(self, data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+        """Which texts have to be encoded whole: the pattern is tried where the bytes may fit it."""
+        around = data[np.maximum(spaces[:, None] - np.array([1, 2, 3]), 0)]
+        wide = (around[:, 1] == 0xC2) | ((around[:, 2] >= 0xE1) & (around[:, 2] <= 0xE3) & (around[:, 1] >= 0x80))
+        maybe = spaces[_BLANK[around[:, 0]] | (wide & (around[:, 0] >= 0x80))]
+        special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
+        out = np.zeros(len(offsets) - 1, bool)
+        for doc in np.unique(np.searchsorted(offsets, np.concatenate([maybe, special]), "right") - 1).tolist():
+            out[doc] = _UNSURE.search(data[offsets[doc] : offsets[doc + 1]].tobytes().decode()) is not None
+        return out
+
+    def _slice(self, data: np.ndarray, offsets: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        docs = len(offsets) - 1
+        spaces = np.flatnonzero(data == 32)
+        unsure = self._unsure(data, offsets, spaces) if len(data) else np.zeros(docs, bool)
+        # chunks: between spaces; a text without characters has none
+        full = np.flatnonzero(np.diff(offsets))
+        start = np.sort(np.concatenate([offsets[full], spaces + 1]), kind="stable")
+        stop = np.sort(np.concatenate([spaces, offsets[full + 1]]), kind="stable")
+        per_doc = np.bincount(np.searchsorted(offsets, spaces, "right") - 1, minlength=docs)[full] + 1
+        doc = np.repeat(full, per_doc)
+        first = np.zeros(len(start), bool)
+        first[np.cumsum(per_doc) - per_doc] = True
+        sure = ~unsure[doc]
+
+        # signs and line breaks, each where it may be in a chunk of lines of letters
+        mark = np.flatnonzero(_MARK[data])
+        in_chunk = np.searchsorted(start, mark, "right") - 1
+        line = data[mark] == 10
+        head, tail = mark == start[in_chunk], mark + 1 == stop[in_chunk]
+        before, after = data[np.maximum(mark - 1, 0)], data[np.minimum(mark + 1, len(data) - 1)]
+        fits = ~head & np.where(line, (before != 10) & ~tail & ~_MARK[after], ~_MARK[before] & (tail | (after == 10)))
+        plain = sure & (stop > start)
+        plain[in_chunk[~fits]] = False
+        ends_word = ~_MARK[before]
+        here = plain[in_chunk]
+        word = np.concatenate([start[plain], mark[line & here] + 1])
+        bare = np.concatenate([first[plain], np.ones(int((line & here).sum()), bool)])
+        turn = np.argsort(word, kind="stable")
+        word, bare = word[turn], bare[turn]
+        open_end = plain & ~_MARK[data[np.maximum(stop - 1, 0)]] if len(data) else plain
+        word_end = np.sort(np.concatenate([mark[here & ends_word], stop[open_end]]), kind="stable")
+        codes, different = word_codes(data, word, word_end)
+        names = different.cast(pa.large_string()).to_pylist()
+        letters = np.array([w.isalpha() for w in names], bool)
+        word_chunk = np.searchsorted(start, word, "right") - 1
+        plain[word_chunk[~letters[codes]]] = False
+        used = plain[word_chunk]
+        word, bare, codes = word[used], bare[used], codes[used]
+        here = plain[in_chunk]
+        mark = mark[here]
+
+        # every different string once: words after a space, words without one, other chunks, whole texts
+        kept = self.memory.used
+        tables: list[tuple[np.ndarray, np.ndarray]] = []
+        events: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # text, order in it, entry of the tables
+        entries = 0
+
+        def take(table: tuple[np.ndarray, np.ndarray], of: np.ndarray, at: np.ndarray, entry: np.ndarray) -> None:
+            nonlocal entries
+            tables.append(table)
+            events.append((of, at, entry + entries))
+            entries += len(table[0])
+
+        def strings(lead: str, letters: bool, of: np.ndarray, at: np.ndarray, code: np.ndarray, names: list[str]) -> None:
+            found, entry = np.unique(code, return_inverse=True)
+            take(self._places([names[i] for i in found.tolist()], lead, letters), of, at, entry)
+
+        word_doc = np.searchsorted(offsets, word, "right") - 1
+        for lead, some in ((" ", ~bare), ("", bare)):
+            strings(lead, True, word_doc[some], 2 * word[some], codes[some], names)
+        other = np.flatnonzero(sure & ~plain)
+        filled = other[stop[other] > start[other]]
+        code, different = word_codes(data, start[filled], stop[filled])
+        names = [*different.cast(pa.large_string()).to_pylist(), ""]
+        all_codes = np.full(len(start), len(names) - 1)
+        all_codes[filled] = code
+        for lead, some in ((" ", other[~first[other]]), ("", other[first[other] & (stop[other] > start[other])])):
+            strings(lead, False, doc[some], 2 * start[some], all_codes[some], names)
+        remembered = self.memory.used
+        whole = np.flatnonzero(unsure)
+        texts = [data[offsets[d] : offsets[d + 1]].tobytes().decode() for d in whole.tolist()]
+        take(self.memory.put(self.whole(texts)), whole, 2 * offsets[whole], np.arange(len(whole)))
+        take(self.memory.put(self.marks), np.searchsorted(offsets, mark, "right") - 1, 2 * mark, (np.cumsum(_MARK) - 1)[data[mark]])
+        if end is not None:
+            every = np.arange(docs)
+            take(self.memory.put([np.array([end], "<u4").tobytes()]), every, 2 * offsets[1:] + 1, np.zeros(docs, np.int64))
+
+        of, at, entry = (np.concatenate(x) for x in zip(*events, strict=True))
+        turn = np.argsort(of << 40 | at, kind="stable")
+        of, entry = of[turn], entry[turn]
+        place, size = (np.concatenate(x) for x in zip(*tables, strict=True))
+        place, size = place[entry], size[entry]
+        sums = np.concatenate([[0], np.cumsum(size)])
+        ids = self.memory.flat[np.repeat(place - sums[:-1], size) + np.arange(sums[-1])]
+        self.memory.used = remembered
+        if self.memory.strings > self.most or self.memory.used > max(8 * self.most, kept):
+            self.memory = Memory()
+        return ids, sums[np.searchsorted(of, np.arange(docs + 1))]
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, offsets) of consecutive whole texts, each followed by the id `end`; a null or empty text has no others."""
+        for data, offsets in slices(texts, SLICE):
+            yield self._slice(data, offsets, end)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Of each whole text; none of a null or empty one."""
-        out: list[bytes] = [b""] * len(texts)
-        split: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
-        missing: set[str] = set()
-        self._forget(self.most)
-        known = self.recent.get
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            chunks = text.split(" ")
-            ids = list(map(known, chunks))
-            gaps = list(compress(range(len(ids)), map(not_, ids)))
-            new = [chunks[j] for j in gaps]
-            # chunks that end in white space are never kept, so a text without new ones needs no closer look
-            if any(c[-1:].isspace() or not c or "<|" in c for c in new) and _UNSURE.search(text):
-                out[i] = self.whole([text])[0]
-                continue
-            missing.update(new)
-            split.append((i, chunks, ids, gaps))
-        firsts = self.whole([chunks[0] for _, chunks, _, _ in split])
-        self._learn(missing)
-        look = self.recent
-        for (i, chunks, ids, gaps), first in zip(split, firsts, strict=True):
-            for j in gaps:
-                ids[j] = look[chunks[j]]
-            ids[0] = first
-            out[i] = b"".join(ids)
-        for c in missing:
-            if not c or len(c) > LONGEST or c[-1].isspace() or "<|" in c:
-                del look[c]
+        """Of each whole text, little-endian unsigned 32-bit."""
+        out: list[bytes] = []
+        for ids, offsets in self.encode(pa.array(texts, pa.large_string())):
+            raw = ids.astype("<u4").tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         return out
 
 

@@ -15,30 +15,27 @@ from gaugework.llm.bpe import encoder
 
 CAPACITY = 2048
 OPEN_BINS = 4096
-DOCS_PER_TASK = 500_000
-ROWS_AT_ONCE = 256
+PIECES_PER_TASK = 50_000
 
 
 def _cut(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
-                row, piece, start, ids = [], [], [], []
-                for i, tokens in enumerate(coder.ids(some.column(1).to_pylist())):
-                    tokens += end
-                    n = len(tokens) // 4
-                    first = n % capacity or capacity
-                    cuts = [0, *range(first, n + 1, capacity)]
-                    row += [i] * (len(cuts) - 1)
-                    piece += range(len(cuts) - 1)
-                    start += cuts[:-1]
-                    ids += [tokens[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                columns = [some.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64())]
-                columns += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            at = 0
+            for ids, offsets in coder.encode(batch.column(1), end_id):
+                n = np.diff(offsets)
+                first = (n - 1) % capacity + 1
+                pieces = (n - first) // capacity + 1
+                row = np.repeat(np.arange(len(n)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = np.where(piece > 0, first[row] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, first[row])
+                places = np.append(offsets[:-1][row] + start, offsets[-1]) * 4
+                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(places), pa.py_buffer(ids.astype("<u4"))])
+                columns = [batch.column(0).take(pa.array(at + row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), raw.cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "piece", "start", "length", "ids"])
+                at += len(n)
 
     return run
 
@@ -112,14 +109,17 @@ def _pack(capacity: int, most: int, at: int):
     return run
 
 
-def pack(pieces: DataFrame, documents: int, order: list[str], capacity: int = CAPACITY, open_bins: int = OPEN_BINS, length: str = "length") -> DataFrame:
+def pack(pieces: DataFrame, rows: int, order: list[str], capacity: int = CAPACITY, open_bins: int = OPEN_BINS, length: str = "length") -> DataFrame:
     """The pieces with `sequence_id` and `offset`: no sequence over `capacity` tokens, no gap in front of a piece.
 
-    Pieces are dealt by the first column of `order` to one task for each DOCS_PER_TASK of the `documents` they come from,
-    and come in that order, so that a repeated task packs alike; of the pieces in one Arrow batch the longest go first. A
-    task holds one batch and `open_bins` open bins. All columns of the pieces move with them: leave out what isn't needed. Rows that tie in `order` take places in turn.
+    `rows` is the number of pieces. They are dealt by a hash of all columns of `order` to one task for each PIECES_PER_TASK of
+    them and come in that order, so that a repeated task packs alike. Each task leaves at most `open_bins` sequences unfilled. The
+    bins are filled online, piece by piece but for one look-ahead: of the pieces in one Arrow batch
+    (`spark.sql.execution.arrow.maxRecordsPerBatch`) the longest go first. A task holds one batch and its open bins. All
+    columns of the pieces move with them: leave out what isn't needed. Rows that tie in `order` are dealt to one task and
+    take places in turn.
     """
-    tasks = max(1, ceil(documents / DOCS_PER_TASK))
-    dealt = pieces.repartition(tasks, order[0]).sortWithinPartitions(*order)
+    tasks = max(1, ceil(rows / PIECES_PER_TASK))
+    dealt = pieces.repartition(tasks, *order).sortWithinPartitions(*order)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return dealt.mapInArrow(_pack(capacity, open_bins, pieces.columns.index(length)), f"{fields}, sequence_id bigint, offset bigint")

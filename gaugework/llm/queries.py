@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import licenses, periodic, phrases, pii, substrings, toxicity
-from gaugework.llm.common import documents
+from gaugework.llm.common import documents, stored
 from gaugework.llm.mixing import mix, mix_sql
 from gaugework.llm.multiset import fingerprints
 from gaugework.llm.packing import pack, token_pieces
@@ -98,8 +98,8 @@ def tokenizer_path() -> str:
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     pieces = token_pieces(docs, tokenizer_path(), capacity=2048, end_id=0)
-    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(pieces, docs.count(), ["doc_id", "piece", "start", "ids_crc32"], capacity=2048)
+    pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return pack(pieces, pieces.count(), ["doc_id", "piece", "start", "ids_crc32"], capacity=2048)
 
 
 @query

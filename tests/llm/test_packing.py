@@ -126,3 +126,25 @@ def test_special_tokens_as_by_the_library(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: ids_of(r.ids) for r in token_pieces(docs, PATH).collect()}
     assert got == {i: [*w, 0] for i, w in enumerate(wanted)}
+
+
+def test_long_texts_without_spaces_and_many_slices(plain, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    coder = bpe.Encoder(PATH)
+    texts = ["x" * 5000, "Ab. " * 700, "line.\nNext line, and\n\nmore " * 50, "é" * 3000, " ", "\n", " a", "a ", "  ", None, "1 2\t3 \u00a0 x"]
+    for _ in range(2):
+        assert [ids_of(x) for x in coder.ids(texts)] == [plain(t) for t in texts]
+
+
+def test_memory_of_strings():
+    rng = np.random.default_rng(4)
+    memory, known = bpe.Memory(), {}
+    for _ in range(40):
+        new = rng.integers(0, 2**64, (int(rng.integers(0, 90)), 2), np.uint64)
+        ids = [rng.integers(0, 50_000, int(rng.integers(0, 6))).astype("<u4").tobytes() for _ in new]
+        memory.add(new, *memory.put(ids))
+        known |= {tuple(d): i for d, i in zip(new.tolist(), ids, strict=True)}
+        asked = np.array([*known, (1, 2)], np.uint64)
+        for (a, n), wanted in zip(zip(*memory.find(asked), strict=True), [*known.values(), None], strict=True):
+            assert n == -1 if wanted is None else memory.flat[a : a + n].tobytes() == wanted
+    assert memory.strings == len(known) and len(memory.runs) < 12
