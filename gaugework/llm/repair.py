@@ -24,39 +24,39 @@ RULES = (1 << 16) - BASE
 ROUNDS = 6  # a round makes at most this part of all rules
 LEAST_COUNT = 8
 BLOCK_TOKENS = 1 << 20
-TABLE_BITS = 20
-ROWS_AT_ONCE = 256
-NONE = np.uint32(0xFFFFFFFF)
+TABLE_BITS = 17
+NONE = np.int32(2**31 - 1)
+_SYMBOL, _FIRST, _LIVE = np.uint32(0xFFFF), np.uint32(1 << 16), np.uint32(1 << 17)
 
 
-def _frequent(pairs: np.ndarray, valid: np.ndarray, most: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, rank of the pair at each place or NONE): the most frequent ones, counted exactly over the whole block.
+def _frequent(pairs: np.ndarray) -> np.ndarray:
+    """The pairs that are frequent, counted exactly: falling by count, rising by pair."""
+    ordered = np.sort(pairs)
+    edge = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
+    counts = np.diff(edge)
+    often = np.flatnonzero(counts >= LEAST_COUNT)
+    # the pairs are in order, so a stable sort by count leaves them so
+    return ordered[edge[often[np.argsort(-counts[often], kind="stable")]]]
 
-    Every pair is hashed to a slot, in every turn to another; a slot counts the last pair written to it, so a clash can hide
-    a pair in one turn, but no count is wrong. Where no slot has a frequent pair, the hidden ones are counted one by one.
+
+def _ranks(pairs: np.ndarray, often: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(frequent pairs that have a slot of their own, rank among them at each place or NONE, whether the pair may be frequent).
+
+    Pairs are looked up by a hash, in every turn another. Of two frequent pairs with one slot the less frequent waits for a
+    later turn.
     """
-    salt = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) % 2**64)
-    slot = ((pairs * salt) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    owner = np.zeros(1 << TABLE_BITS, np.uint64)
-    owner[slot[valid]] = pairs[valid]
-    own = valid & (owner[slot] == pairs)
-    counts = np.bincount(slot[own], minlength=1 << TABLE_BITS)
-    slots = np.flatnonzero(counts >= LEAST_COUNT)
-    if not len(slots):
-        found, n = np.unique(pairs[valid & ~own], return_counts=True)
-        order = np.lexsort((found, -n))
-        chosen = found[order[n[order] >= LEAST_COUNT][:most]]
-        rank = np.full(len(pairs), NONE)
-        if len(chosen):
-            by_value = np.argsort(chosen)
-            at = np.minimum(np.searchsorted(chosen[by_value], pairs), len(chosen) - 1)
-            hit = valid & (chosen[by_value][at] == pairs)
-            rank[hit] = by_value[at[hit]].astype(np.uint32)
-        return chosen, rank
-    slots = slots[np.lexsort((owner[slots], -counts[slots]))][:most]
+    salt = np.uint32((0x9E3779B1 * (2 * turn + 1)) % 2**32)
+    shift = np.uint32(32 - TABLE_BITS)
+    slot = (often * salt) >> shift
     rank = np.full(1 << TABLE_BITS, NONE)
-    rank[slots] = np.arange(len(slots), dtype=np.uint32)
-    return owner[slots], np.where(own, rank[slot], NONE)
+    rank[slot[::-1]] = np.arange(len(often) - 1, -1, -1, dtype=np.int32)
+    own = np.flatnonzero(rank[slot] == np.arange(len(often)))
+    often, slot = often[own], slot[own]
+    rank[slot] = np.arange(len(own), dtype=np.int32)
+    found = rank[(pairs * salt) >> shift]
+    maybe = found != NONE
+    found[maybe] = np.where(often[found[maybe]] == pairs[maybe], found[maybe], NONE)
+    return often, found, maybe
 
 
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,32 +64,43 @@ def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     until no pair is frequent or the rules run out.
 
     No pair crosses from one document to the next. In a round many pairs are replaced at once: where two would overlap,
-    the more frequent one is, and in a run of equal pairs every other one.
+    the more frequent one is, and in a run of equal pairs every other one. A pair that is not frequent can only become so
+    beside a new symbol, so each round counts the places that were frequent and those beside what the last one replaced.
     """
-    symbols = ids.astype(np.uint32)
-    first = np.zeros(len(symbols), bool)
-    first[starts] = True
+    # one number for each place: its symbol, whether it is the first of a document, whether its pair may be frequent
+    places = ids.astype(np.uint32) | _LIVE
+    places[starts] |= _FIRST
     rules: list[np.ndarray] = []
-    made = 0
-    turn = 0
-    while len(symbols) > 1 and made < RULES:
-        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        chosen, rank = _frequent(pairs, ~first[1:], min(RULES - made, -(-RULES // ROUNDS)), turn)
-        turn += 1
-        if not len(chosen):
+    made = turn = 0
+    while len(places) > 1 and made < RULES:
+        at = np.flatnonzero(places[:-1] & _LIVE)
+        one, two = places[at], places[at + 1]
+        inside = (two & _FIRST) == 0
+        at, pairs = at[inside], ((one & _SYMBOL) << np.uint32(16) | (two & _SYMBOL))[inside]
+        often = _frequent(pairs)
+        if not len(often):
             break
-        before = np.concatenate([[NONE], rank[:-1]])
-        after = np.concatenate([rank[1:], [NONE]])
-        place = np.arange(len(rank))
-        even = (place - np.maximum.accumulate(np.where(rank != before, place, 0))) % 2 == 0
-        at = np.flatnonzero((rank != NONE) & even & (rank <= before) & (rank <= after))
-        symbols[at] = BASE + made + rank[at]
-        keep = np.ones(len(symbols), bool)
+        often, rank, maybe = _ranks(pairs, often, turn)
+        chosen = often[: min(RULES - made, -(-RULES // ROUNDS))]
+        turn += 1
+        places[at[~maybe]] &= ~_LIVE
+        some = np.flatnonzero(rank < len(chosen))
+        at, own = at[some], rank[some]
+        beside = at[1:] == at[:-1] + 1
+        before, after = np.full(len(at), NONE), np.full(len(at), NONE)
+        before[1:][beside], after[:-1][beside] = own[:-1][beside], own[1:][beside]
+        place = np.arange(len(at), dtype=np.int32)
+        even = (place - np.maximum.accumulate(np.where(own != before, place, 0))) % 2 == 0
+        taken = even & (own <= before) & (own <= after)
+        at, own = at[taken], own[taken]
+        places[at] = (places[at] & _FIRST) | _LIVE | (BASE + made + own).astype(np.uint32)
+        places[at - 1] |= _LIVE
+        keep = np.ones(len(places), bool)
         keep[at + 1] = False
-        symbols, first = symbols[keep], first[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        places = places[keep]
+        rules.append(np.stack([chosen >> np.uint32(16), chosen & _SYMBOL], axis=1))
         made += len(chosen)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), np.flatnonzero(first)
+    return places & _SYMBOL, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), np.flatnonzero(places & _FIRST)
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
@@ -103,28 +114,60 @@ def expansion_lengths(rules: np.ndarray) -> np.ndarray:
         length = new
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
+def expansions_of(rules: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all symbols one behind the other, first of each): BASE ids for themselves, then what the rules stand for.
+
+    The rules are filled in by their depth, each from the two symbols it refers to.
+    """
+    size = np.concatenate([np.ones(BASE, np.int64), lengths])
+    place = np.cumsum(size) - size
+    flat = np.empty(int(size.sum()), np.uint32)
+    flat[:BASE] = np.arange(BASE)
+    depth = np.zeros(len(size), np.int64)
+    while len(rules):
+        new = np.maximum(depth[rules[:, 0]], depth[rules[:, 1]]) + 1
+        if np.array_equal(new, depth[BASE:]):
+            break
+        depth[BASE:] = new
+    for level in range(1, int(depth.max(initial=0)) + 1):
+        some = np.flatnonzero(depth == level)
+        for side in (0, 1):
+            part = rules[some - BASE, side]
+            to = place[some] + (size[rules[some - BASE, 0]] if side else 0)
+            step = np.arange(int(size[part].sum())) - np.repeat(np.cumsum(size[part]) - size[part], size[part])
+            flat[np.repeat(to, size[part]) + step] = flat[np.repeat(place[part], size[part]) + step]
+    return flat, place
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
     """Token ids of any stretch of symbols, such as those of one document."""
-    symbols = symbols.astype(np.uint32)
-    while True:
-        rule = symbols >= BASE
-        if not rule.any():
-            return symbols
-        width = np.where(rule, 2, 1)
-        at = np.cumsum(width) - width
-        out = np.empty(int(width.sum()), np.uint32)
-        out[at[~rule]] = symbols[~rule]
-        pairs = rules[symbols[rule] - BASE]
-        out[at[rule]], out[at[rule] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-
-
-def decode(block: dict, n: int) -> np.ndarray:
-    """Ids of the n-th document of a block read from a file: only its own symbols are touched."""
+    lengths = expansion_lengths(rules) if lengths is None else lengths
+    flat, place = expansions_of(rules, lengths)
+    size = np.concatenate([np.ones(BASE, np.int64), lengths])[symbols]
+    before = np.cumsum(size) - size
+    return flat[np.repeat(place[symbols] - before, size) + np.arange(int(size.sum()))]
+
+
+def decode(block: dict, n: int, start: int = 0, stop: int | None = None) -> np.ndarray:
+    """Ids `start` to `stop` (or the end) of the n-th document of a block read from a file.
+
+    The stored expansion lengths of the document's symbols tell which of them the range lies in; only those are expanded.
+    """
     places = np.frombuffer(block["places"], "<u4")
-    symbols = np.frombuffer(block["symbols"], "<u2")
     rules = np.frombuffer(block["rules"], "<u2").reshape(-1, 2)
-    return expand(symbols[places[n] : places[n + 1] if n + 1 < len(places) else None], rules)
+    lengths = np.frombuffer(block["expansions"], "<u4").astype(np.int64)
+    symbols = np.frombuffer(block["symbols"], "<u2")[places[n] : places[n + 1] if n + 1 < len(places) else None]
+    ends = np.cumsum(np.concatenate([np.ones(BASE, np.int64), lengths])[symbols])
+    total = int(ends[-1]) if len(ends) else 0
+    start, stop, _ = slice(start, stop).indices(total)
+    if start >= stop:
+        return np.zeros(0, np.uint32)
+    a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop)
+    before = int(ends[a - 1]) if a else 0
+    part = symbols[a : b + 1]
+    # rules refer to earlier rules only, so those behind the largest one are not needed
+    used = max(int(part.max()) - BASE + 1, 0)
+    return expand(part, rules[:used], lengths[:used])[start - before : stop - before]
 
 
 FIELDS = "part int, block int, n_ids bigint, ids array<{}>, counts binary, places binary, rules binary, expansions binary, symbols binary"
@@ -133,15 +176,15 @@ FIELDS = "part int, block int, n_ids bigint, ids array<{}>, counts binary, place
 def _write(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
         part, made = TaskContext.get().partitionId(), 0
         names: list[pa.Array] = []
-        texts: list[bytes] = []
-        size = 0
+        parts: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        held = 0
 
         def block() -> pa.RecordBatch:
-            counts = np.array([len(t) // 4 for t in texts], np.int64)
-            ids = np.frombuffer(b"".join(texts), "<u4")
+            counts = np.concatenate(sizes)
+            ids = np.concatenate(parts)
             if len(ids) and int(ids.max()) >= BASE:
                 raise ValueError(f"the file format holds ids below {BASE}")
             symbols, rules, places = compress(ids, np.cumsum(counts) - counts)
@@ -153,18 +196,25 @@ def _write(path: str, end_id: int):
             return pa.RecordBatch.from_arrays(row, ["part", "block", "n_ids", "ids", "counts", "places", "rules", "expansions", "symbols"])
 
         for batch in batches:
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
-                for i, ids in enumerate(coder.ids(some.column(1).to_pylist())):
-                    names.append(some.column(0).slice(i, 1))
-                    texts.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= BLOCK_TOKENS:
+            row = 0
+            for ids, offsets in coder.encode(batch.column(1), end_id):
+                docs, at = len(offsets) - 1, 0
+                while at < docs:
+                    # as many documents as complete the block
+                    stop = min(int(np.searchsorted(offsets, offsets[at] + BLOCK_TOKENS - held)), docs)
+                    stop = max(stop, at + 1)
+                    names.append(batch.column(0).slice(row + at, stop - at))
+                    parts.append(ids[offsets[at] : offsets[stop]])
+                    sizes.append(np.diff(offsets[at : stop + 1]))
+                    held += int(offsets[stop] - offsets[at])
+                    at = stop
+                    if held >= BLOCK_TOKENS:
                         yield block()
                         made += 1
-                        names.clear(), texts.clear()
-                        size = 0
-        if texts:
+                        names.clear(), parts.clear(), sizes.clear()
+                        held = 0
+                row += docs
+        if names:
             yield block()
 
     return run
@@ -189,14 +239,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n in range(len(batch)):
             row = batch.slice(n, 1)
             names = row.column("ids").flatten()
-            counts = np.frombuffer(row.column("counts")[0].as_py(), "<u4").astype(np.int64)
-            rules = np.frombuffer(row.column("rules")[0].as_py(), "<u2").reshape(-1, 2)
-            raw = expand(np.frombuffer(row.column("symbols")[0].as_py(), "<u2"), rules).astype("<u4").tobytes()
-            starts = np.cumsum(counts) - counts
-            ids = pa.array([raw[4 * s : 4 * (s + c)] for s, c in zip(starts, counts, strict=True)], pa.binary())
+            blob = lambda name, kind: np.frombuffer(row.column(name)[0].as_buffer(), kind)  # noqa: E731, B023
+            counts = blob("counts", "<u4").astype(np.int64)
+            rules = blob("rules", "<u2").reshape(-1, 2)
+            ids = expand(blob("symbols", "<u2"), rules, blob("expansions", "<u4").astype(np.int64))
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(4 * ends), pa.py_buffer(ids.astype("<u4"))])
             same = lambda name, kind: pa.array([row.column(name)[0].as_py()] * len(names), kind)  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
-                [same("part", pa.int32()), same("block", pa.int32()), names, pa.array(starts), pa.array(counts), ids],
+                [same("part", pa.int32()), same("block", pa.int32()), names, pa.array(ends[:-1]), pa.array(counts), texts.cast(pa.binary())],
                 ["part", "block", "id", "start", "n_tokens", "ids"],
             )
 

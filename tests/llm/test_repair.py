@@ -20,8 +20,13 @@ def check(docs):
     full = np.concatenate([np.ones(repair.BASE, np.int64), repair.expansion_lengths(rules)])
     assert full[symbols].sum() == len(ids)
     block = {"places": places.astype("<u4").tobytes(), "symbols": symbols.astype("<u2").tobytes(), "rules": rules.astype("<u2").tobytes()}
-    for n in random.Random(1).sample(range(len(docs)), min(40, len(docs))):
+    block["expansions"] = repair.expansion_lengths(rules).astype("<u4").tobytes()
+    rng = random.Random(1)
+    for n in rng.sample(range(len(docs)), min(40, len(docs))):
         assert np.array_equal(repair.decode(block, n), docs[n])
+        a, b = sorted(rng.randint(0, len(docs[n])) for _ in range(2))
+        assert np.array_equal(repair.decode(block, n, a, b), docs[n][a:b])
+        assert np.array_equal(repair.decode(block, n, a), docs[n][a:])
     return len(symbols) / len(ids)
 
 
