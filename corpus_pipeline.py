@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugework.llm import pii
+from gaugework.llm.common import stored
 from gaugework.llm.mixing import mix
 from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import keep_good
@@ -47,8 +48,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each piece of a document: its tokens' digest and its place in a sequence of CAPACITY tokens."""
     pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0)
-    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(pieces, docs.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)
+    pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return pack(pieces, pieces.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)
 
 
 STAGES: list[tuple[str, Stage]] = [
