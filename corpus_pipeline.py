@@ -24,29 +24,40 @@ CAPACITY = 2048
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; null and empty texts go."""
+    """Documents that the quality rules keep. Null and empty texts go; repeated rows are judged alike and all stay."""
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked fingerprints: three-word shingles, two bits."""
+    """The document with the smallest id of each group of linked fingerprints: three-word shingles, two bits.
+
+    Null and empty texts have one fingerprint and are a group. Of rows with the smallest id one stays, of the smallest text
+    hash. A null id is the smallest only in a group without others.
+    """
     return one_of_each(docs, shingle=3, most=2)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with <kind> in place of each span of personal data."""
+    """All documents, with <kind> in place of each span of personal data. Null texts stay null; repeated rows change alike."""
     return pii.redact(docs, pii.fit(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that meet the target weights of domains, languages and sources within SHARE of all words."""
+    """The documents that meet the target weights of domains, languages and sources within SHARE of all words.
+
+    A null language or source is a branch of its own; a source without a number belongs to domain0. Texts without words
+    weigh nothing. Repeated rows are documents of their own; ties in the seeded order are broken by all that is known of them.
+    """
     domain = "__domain"
     mixed = mix(with_domain(docs, domain), [domain, "lang", "source"], SHARE, weight_tables(spark, domain), EPOCHS, SEED)
     return mixed.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each piece of a document: its tokens' digest and its place in a sequence of CAPACITY tokens."""
+    """One row for each piece of a document: its tokens' digest and its place in a sequence of CAPACITY tokens.
+
+    Null and empty texts are the end token alone; repeated rows are packed each; a null id stays null.
+    """
     pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0)
     pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(pieces, pieces.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)
