@@ -24,8 +24,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-#: Rows of a Hadamard matrix: the bits of a group that a reference fingerprint of that group has set.
-WITHIN_GROUP = (0b11111111, 0b11110000, 0b11001100, 0b10101010, 0b10010110)
+#: The rows of a Hadamard matrix: the bits of a group that a reference fingerprint of that group has set. The distances to
+#: all eight tell the 256 values of a group apart.
+WITHIN_GROUP = (0b11111111, 0b11110000, 0b11001100, 0b10101010, 0b11000011, 0b10100101, 0b10011001, 0b10010110)
 #: References that differ from the zero fingerprint in one group of eight bits only, by group.
 GROUP_PIVOTS = [[_signed(bits << (8 * g)) for bits in WITHIN_GROUP] for g in range(GROUPS)]
 #: References spread over all bits; their nine distances of seven bits fit one long.
@@ -147,7 +148,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     id that it reaches over linked fingerprints.
 
     Fingerprints of at most `most` (0 to 2) differing bits are linked. Equal fingerprints are one row from the start. The
-    distances of each fingerprint to 49 references are computed once; candidates share the coordinates of all but two
+    distances of each fingerprint to 73 references are computed once; candidates share the coordinates of all but two
     groups of references, go when any other coordinate differs by more than `most`, and are verified bit by bit. Rows
     under one key differ in sixteen bits at most, so they are 65,536 at most whatever the input.
 

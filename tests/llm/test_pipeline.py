@@ -86,3 +86,98 @@ def test_every_stage_on_nulls_and_an_empty_table(spark):
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, SF).collect()
+
+
+def words(n, tag):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, repeated rows, one very long text, equal texts, columns with names that the stages use."""
+    rows = [
+        (1, words(60, "a"), "en", "src1"),
+        (1, words(60, "a"), "en", "src1"),
+        (None, words(70, "b"), None, None),
+        (2, None, "de", "src2"),
+        (3, "", "de", "odd"),
+        (4, words(150_000, "w"), "en", "src5"),
+        (5, words(60, "a"), "fr", "src1"),
+        (6, words(40, "c") + " mail x.y@z.org now", "xx", ""),
+        (None, None, None, None),
+    ]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, quality string, spans int, fp int, tokens int, sequence_id int, domain int"
+    return spark.createDataFrame([(*r, None, "q", 1, 2, 3, 4, 5) for r in rows], schema)
+
+
+def found(stage, spark, docs):
+    out = stage(spark, docs, SF)
+    return out.columns, [(r.doc_id, r.text) for r in out.collect()] if "text" in out.columns else out.collect()
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def test_quality_on_odd_documents(spark, odd):
+    import corpus_pipeline
+
+    columns, rows = found(corpus_pipeline.quality, spark, odd)
+    assert columns == odd.columns
+    kept = [(1, words(60, "a")), (1, words(60, "a")), (4, words(150_000, "w")), (5, words(60, "a")), (6, words(40, "c") + " mail x.y@z.org now"), (None, words(70, "b"))]
+    assert by_id(rows) == by_id(kept)
+
+
+def test_near_duplicates_on_odd_documents(spark, odd):
+    import corpus_pipeline
+
+    columns, rows = found(corpus_pipeline.near_duplicates, spark, odd)
+    assert columns == odd.columns
+    # the equal texts of 1 and 5 leave 1 once; the texts without words leave the smallest id
+    assert sorted((r[0] is None, r[0] or 0) for r in rows) == [(False, 1), (False, 2), (False, 4), (False, 6), (True, 0)]
+    assert dict(rows)[2] is None and dict(rows)[None] == words(70, "b")
+
+
+def test_personal_data_on_odd_documents(spark, odd):
+    import corpus_pipeline
+
+    columns, rows = found(corpus_pipeline.personal_data, spark, odd)
+    assert columns == odd.columns
+    want = [(r.doc_id, r.text and r.text.replace("x.y@z.org", "<email>")) for r in odd.select("doc_id", "text").collect()]
+    assert by_id(rows) == by_id(want)
+
+
+def test_mixing_on_odd_documents(spark, odd):
+    import corpus_pipeline
+
+    columns, rows = found(corpus_pipeline.mixing, spark, odd)
+    assert columns == odd.columns
+    left = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    for r in rows:
+        left.remove(r)  # a row as it was, and no more often
+    total = sum(len((r.text or "").split()) for r in odd.select("text").collect())
+    assert sum(len((t or "").split()) for _, t in rows) <= 0.8 * total
+    assert sorted(by_id(rows), key=str) == sorted(by_id(found(corpus_pipeline.mixing, spark, odd.repartition(3))[1]), key=str)
+
+
+def test_packing_on_odd_documents(spark, odd):
+    import corpus_pipeline
+
+    columns, rows = found(corpus_pipeline.packing, spark, odd)
+    assert columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    check_packing(rows)
+    pieces = Counter(r.doc_id for r in rows)
+    assert pieces[1] == 2 and pieces[2] == pieces[3] == 1 and pieces[None] == 2 and pieces[4] > 100
+    assert [r.length for r in rows if r.doc_id in (2, 3)] == [1, 1]
+    long = sorted((r for r in rows if r.doc_id == 4), key=lambda r: r.piece)
+    assert all(r.length == 2048 for r in long[1:])
+
+
+def test_every_stage_keeps_an_empty_table_empty(spark, odd):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd.limit(0), SF)
+        assert out.collect() == []
+        if name != "packing":
+            assert out.columns == odd.columns

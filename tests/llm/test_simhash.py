@@ -4,6 +4,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from gaugework.llm import simhash
 from gaugework.llm.simhash import near_duplicates, one_of_each
 
 
@@ -93,3 +94,9 @@ def test_one_large_group_of_near_copies(spark):
     want = brute_components([brute_print(t) for t in texts])
     got = {r.doc_id: r.component_id for r in near_duplicates(docs).select("doc_id", F.col("component_id")).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_references_of_a_group_tell_all_its_values_apart():
+    """Equal coordinates in six groups are equal bits there, so a key holds at most 2^16 fingerprints."""
+    seen = {tuple((x ^ p).bit_count() - x.bit_count() for p in simhash.WITHIN_GROUP) for x in range(256)}
+    assert len(seen) == 256
