@@ -153,10 +153,11 @@ def rolling_features(
     trend: bool = True,
     limit: int = ROWS_PER_SLICE,
     position: str | None = None,
+    trusted: bool = False,
 ) -> DataFrame:
     """`<c>_velocity` (change since the row before) and `<c>_trend` (mean of `rows` rows, null until full).
 
-    `position` may name a cycle column without gaps (see `over_groups`).
+    `position` may name a cycle column without gaps (see `over_groups`); `trusted` if the caller has just numbered it.
     """
 
     def build(frame):
@@ -170,7 +171,7 @@ def rolling_features(
                 out[f"{c}_trend"] = F.when(full, F.avg(c).over(last))
         return out
 
-    return over_groups(df, keys, order or ["cycle"], build, before=max(rows - 1, 1), limit=limit, position=position)
+    return over_groups(df, keys, order or ["cycle"], build, before=max(rows - 1, 1), limit=limit, position=position, trusted=trusted)
 
 
 def engineered_zscore(df: DataFrame, tags: list[str] = engine.ENGINEERED_TAGS) -> DataFrame:

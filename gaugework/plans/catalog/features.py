@@ -47,7 +47,7 @@ FEATURE_CTES = {
 def features(spark, sf_dir):
     """Cycles and unscaled features are stored once, as their statistics take several passes over them."""
     cycles = write_table(A.cycles(spark, sf_dir), scratch_path(spark, "cycles"))
-    return engine_features(clean_cycles(cycles, SENSORS), store=scratch_path(spark, "unscaled"), position="cycle")
+    return engine_features(clean_cycles(cycles, SENSORS), store=scratch_path(spark, "unscaled"), position="cycle", trusted=True)
 
 
 @register(
