@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from gaugework.operators.cumulative import running_sums
-from gaugework.operators.sizing import sized
+from gaugework.operators.sizing import attach_row, sized
 from gaugework.operators.summary import first_at_or_below, last_value
 
 
@@ -23,23 +23,27 @@ def survival_curve(df: DataFrame, group: str, lifetime: str = "lifetime", censor
     """Active units per group and cycle, from 0 to the longest lifetime.
 
     A unit is active while the cycle is below its lifetime, and at its lifetime only when it is censored.
+
+    Counts run over the distinct lifetimes only; every one of them then fills the cycles up to the next, so the work of a
+    long grid is spread over the lifetimes of a group.
     """
-    ends = df.groupBy(group, F.col(lifetime).alias("cycle")).agg(
+    ends = df.groupBy(group, F.col(lifetime).cast("long").alias("cycle")).agg(
         F.count(F.lit(1)).alias("ended"), F.sum(F.col(censored).cast("long")).alias("kept")
     )
-    ends, _ = sized(ends)  # one row per distinct lifetime, read for the grid, its end and the counts
-    last = ends.agg(F.max("cycle").alias("__last"))
-    grid = ends.select(group).distinct().crossJoin(F.broadcast(last))
-    zeros = grid.select(
-        group,
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("__last").cast("long"))).alias("cycle"),
-        F.lit(0).cast("long").alias("ended"),
-        F.lit(0).cast("long").alias("kept"),
+    ends, _ = sized(ends)  # one row per distinct lifetime, read for the groups, the end of the grid and the counts
+    none = F.lit(0).cast("long")
+    starts = ends.select(group).distinct().select(group, F.lit(-1).cast("long").alias("cycle"), none.alias("ended"), none.alias("kept"))
+    steps = running_sums(ends.unionByName(starts), [group], "cycle", ["ended"])
+    steps = attach_row(steps, ends.agg(F.max("cycle").alias("__last")))
+    first = F.greatest(F.col("cycle"), none)
+    until = F.coalesce(F.col("next_cycle") - 1, F.col("__last"))
+    filled = steps.filter(first <= until).select(
+        group, F.explode(F.sequence(first, until)).alias("at"), "cycle", "kept", "tot_ended", "cum_ended"
     )
-    steps = ends.unionByName(zeros).groupBy(group, "cycle").agg(F.sum("ended").alias("ended"), F.sum("kept").alias("kept"))
-    active = F.col("tot_ended") - F.col("cum_ended") + F.col("kept")
-    return running_sums(steps, [group], "cycle", ["ended"]).select(
-        group, "cycle", active.alias("active"), (active / F.col("tot_ended") * 100).alias("survival_pct")
+    kept = F.when(F.col("at") == F.col("cycle"), F.col("kept")).otherwise(0)
+    active = F.col("tot_ended") - F.col("cum_ended") + kept
+    return filled.select(
+        group, F.col("at").alias("cycle"), active.alias("active"), (active / F.col("tot_ended") * 100).alias("survival_pct")
     )
 
 
