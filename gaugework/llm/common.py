@@ -27,7 +27,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that have ended.
+
+    They stay on the executors' disks until the driver's JVM has collected those plans, which on a large heap may be after
+    the job; so it is asked to.
+    """
+    spark._jvm.System.gc()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of stored tables that no later plan reads, and the shuffles behind them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        free_shuffles(spark)
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -107,7 +127,11 @@ def running(values: np.ndarray, base: int = _BASE) -> np.ndarray:
 
 
 def between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, inverse: int = _INVERSE) -> np.ndarray:
-    """Hash of each stretch [start, end), whatever its place: equal content gives equal hashes."""
+    """Hash of each stretch [start, end), whatever its place: equal content gives equal hashes.
+
+    For stretches of some hundred values only: modulo a power of two, certain sequences of two values that are 1,024 long
+    or longer have equal sums for every base. Longer content is compared itself or by a digest.
+    """
     raw = (sums[ends] - sums[starts]) * powers(inverse, len(sums))[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 

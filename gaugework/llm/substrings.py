@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import slices, stored, word_bounds
+from gaugework.llm.common import discard, slices, stored, word_bounds
 from gaugework.llm.words import chained, joined, word_codes, word_digests
 
 LENGTH = 20
@@ -206,9 +206,11 @@ def remove_later_repeats(
     # stored, so that the join is between plain tables, whose skewed keys adaptive execution splits
     shared = stored(runs.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed"), "seeds")
     met = stored(runs.join(shared, "seed"), "met")
+    discard(runs, shared)
     kinds = stored(met.groupBy("seed", "whole").agg(F.min(F.struct("id", "d", "run")).alias("one")), "kinds")
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed", F.lit(True).alias("several"))
     first = stored(kinds.join(several, "seed", "left").select("one.*", F.coalesce("several", F.lit(False)).alias("several")), "first")
+    discard(kinds)
 
     asked = first.filter("several").groupBy(F.col("id").alias("__id"), F.col("d").alias("__d")).agg(F.collect_list("run").alias("runs"))
     texts = base.join(asked, _same_document()).select("id", "d", "text", "runs")
@@ -221,7 +223,9 @@ def remove_later_repeats(
     told = told.groupBy("id", "d", "value").agg(F.max("told").alias("told")).filter(F.col("told") != ONLY)
     told = told.unionByName(starts.select("id", "d", F.col("start").alias("value"), F.lit(FIRST).alias("told")))
     marks = told.groupBy(F.col("id").alias("__id"), F.col("d").alias("__d")).agg(F.collect_list(F.struct("value", "told")).alias("marks"))
-    found = base.join(stored(marks, "marks"), _same_document(), "left").select("id", "text", "marks")
+    marks = stored(marks, "marks")
+    discard(met, first)
+    found = base.join(marks, _same_document(), "left").select("id", "text", "marks")
     out = found.mapInArrow(_cut(length), f"id {kind}, n_words bigint, n_removed bigint, kept string")
     return out.withColumnRenamed("id", id)
 
