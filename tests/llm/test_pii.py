@@ -1,5 +1,11 @@
 import hashlib
+import random
 import re
+import string
+import time
+from itertools import accumulate
+
+from pyspark.sql import functions as F
 
 from gaugework.llm import pii
 from gaugework.llm.queries import QUERIES
@@ -94,3 +100,79 @@ def test_empty_table_and_native_plan(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_running_results(spark):
+    for n in (0, 1, 2, 3, 10, 101):
+        values = [(i * 7919) % 101 for i in range(n)]
+        row = spark.createDataFrame([(values,)], "v array<bigint>").select(
+            *(F.expr(pii._running("v", *how)).alias(name) for name, how in (("s", pii._SUM), ("m", pii._MOST), ("l", pii._LEAST)))
+        ).first()
+        assert row.s == list(accumulate(values)) and row.m == list(accumulate(values, max)) and row.l == list(accumulate(values, min))
+
+
+def noise(rng, n):
+    return " ".join("".join(rng.choices("aeiounstrlm", k=rng.randint(1, 14))).capitalize() if rng.random() < 0.1 else "".join(rng.choices("aeiounstrlm", k=rng.randint(1, 24))) for _ in range(n))
+
+
+def test_secrets_of_several_shapes_are_found_and_prose_is_not(spark):
+    """Recall and precision of the kind `secret` on planted credentials."""
+    rng = random.Random(2)
+    hexa, mixed, letters = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters
+    make = [
+        lambda: f'token = "{"".join(rng.choices(hexa, k=40))}"',
+        lambda: f"api key: {''.join(rng.choices(mixed, k=32))}",
+        lambda: f"token = {''.join(rng.choices(letters, k=80))}{''.join(rng.choices(hexa, k=40))}",
+        lambda: f"secret='{''.join(rng.choices(mixed, k=24))}'",
+        lambda: f"password = {''.join(rng.choices(string.ascii_lowercase, k=25))}",
+    ]
+    docs, planted = [], 0
+    for i in range(600):
+        parts = [noise(rng, rng.randint(5, 60))]
+        if i % 3 == 0:
+            parts += [make[i // 3 % len(make)](), noise(rng, 20)]
+            planted += 1
+        docs.append((i, " ".join(parts)))
+    docs.append((1000, "password = correcthorsebatterystaple"))
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    found = {r.doc_id: [x.value for x in r.spans if x.kind == 4] for r in pii.find(df, pii.fit(df)).collect()}
+    hits = sum(len(found[i]) == 1 and found[i][0] in docs[i][1] and len(found[i][0]) >= 24 for i in range(0, 600, 3))
+    assert hits >= 0.95 * planted
+    assert sum(bool(found[i]) for i in range(600) if i % 3) <= 2
+    assert found[1000] == ["correcthorsebatterystaple"]
+
+
+def test_many_matches_in_one_text(spark):
+    numbers = " ".join(f"+1 555 {i:07d} word{i:06d}" for i in range(32_000))
+    df = spark.createDataFrame([(1, numbers)], "doc_id int, text string")
+    model = pii.fit(df)
+    start = time.perf_counter()
+    (row,) = pii.find(df, model).select(F.size("base_spans").alias("n"), F.element_at("base_spans", -1).alias("x")).collect()
+    assert row.n == 32_000 and row.x.value == f"+1 555 {31999:07d}" and numbers[row.x.start : row.x.end] == row.x.value
+    assert time.perf_counter() - start < 60
+
+
+def test_candidates_beside_and_inside_base_spans(spark):
+    texts = ["longname8.more@host-name.org abcdefgh12", "abcdefgh1234 1.2.3.4 x 4111 1111 1111 1111 abcdefgh12345", "4111-1111-1111-1111", "a@b.c " * 50 + "zzzzzzzz9"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in pii.with_base(df, "text").collect():
+        base = [(x.start, x.end) for x in r["__base"]]
+        want = [
+            (m.start(), m.end(), texts[r.doc_id][max(0, m.start() - 32) : m.start()].lower())
+            for m in re.finditer(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{8,}", texts[r.doc_id])
+            if not any(a < m.end() and m.start() < b for a, b in base)
+        ]
+        assert [(x.span.start, x.span.end, x.before) for x in r["__maybe"]] == want
+
+
+def test_redaction_of_overlapping_spans(spark):
+    text = "a1@b.cd +49 30 1234567 4111 1111 1111 1111 é 10.0.0.1, x@1.2.3.4 end"
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    model = pii.fit(df)
+    spans = pii.find(df, model).first().spans
+    out, at = "", 0
+    for x in spans:
+        if x.start >= at:
+            out += text[at : x.start] + f"<{pii.KINDS[x.kind]}>"
+        at = max(at, x.end)
+    assert pii.redact(df, model).first().text == out + text[at:]
