@@ -7,23 +7,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gaugework.llm.common import slices, stored
+from gaugework.llm.common import free_shuffles, slices, stored
 from gaugework.llm.words import chained, word_codes, word_digests
 
 MOST_WORDS = 3
 #: Words that a chunk shares with the next: no phrase is longer than these and one.
 OVERLAP = MOST_WORDS - 1
 #: One in so many windows of OVERLAP words ends a chunk.
-CHUNK = 8
+CHUNK = 16
 LEAST_COUNT = 10
 SUBSUMED_PERCENT = 50
 BEST = 2000
 SALTS = 64
-PARSE_BYTES = 4 << 20
+PARSE_BYTES = 3 << 20
+#: Bits of the map of frequent pairs: 4 MB whatever the input; where it fills up, more triples are counted, none is lost.
+MAP_BITS = 25
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _BREAK.copy()
@@ -102,11 +106,14 @@ def _weighted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return sorted_[edge], np.add.reduceat(weights[order], edge) if len(edge) else weights[:0], number
 
 
-def chunk_phrases(chunks: pa.Array, final: np.ndarray, weights: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """(phrases of one to MOST_WORDS words, their weighted counts) of different chunks; the empty phrase has all words.
+def _pair_bits(lang: str, first: np.ndarray, second: np.ndarray, size: int) -> np.ndarray:
+    """Place in a map of 2^size bits of each pair of words, given by their digests."""
+    salt = np.full(len(first), xxhash.xxh3_64_intdigest(lang), np.uint64)
+    return chained(chained(salt, first), second) >> np.uint64(64 - size)
 
-    A phrase belongs to the chunk in which it begins before the shared words, so that it is counted once.
-    """
+
+def _chunk_words(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(code of each word, its chunk, the different words, end of each word's chunk) of texts with single spaces."""
     chunks = chunks.cast(pa.large_string())
     _, ends, raw = chunks.buffers()
     offsets = np.frombuffer(ends, np.int64, len(chunks) + 1 + chunks.offset)[chunks.offset :]
@@ -118,64 +125,127 @@ def chunk_phrases(chunks: pa.Array, final: np.ndarray, weights: np.ndarray) -> t
     starts = np.flatnonzero(~space & (edge[:-1] | np.concatenate([[True], space[:-1]])))
     stops = np.flatnonzero(~space & (edge[1:] | np.concatenate([space[1:], [True]]))) + 1
     codes, different = word_codes(data, starts, stops)
-    different = different.cast(pa.large_string())
     chunk = np.searchsorted(offsets, starts, "right") - 1
-    stop = np.searchsorted(chunk, chunk, "right")
+    return codes, chunk, different, np.searchsorted(chunk, chunk, "right")
+
+
+def chunk_phrases(
+    chunks: pa.Array, final: np.ndarray, weights: np.ndarray, sizes: tuple[int, ...], lang: str = "", frequent: np.ndarray | None = None
+) -> tuple[pa.Array, np.ndarray]:
+    """(phrases of the given sizes, their weighted counts) of different chunks; the phrase of size 0 has all words.
+
+    A phrase belongs to the chunk in which it begins before the shared words, so that it is counted once. With `frequent`,
+    a map of pairs, phrases with a pair that is not in it are left out.
+    """
+    codes, chunk, different, stop = _chunk_words(chunks)
     own = final[chunk] | (np.arange(len(codes)) + OVERLAP < stop)
     at = np.flatnonzero(own)
     weight = weights[chunk]
-    phrases, counts = [pa.array([""], pa.large_string())], [np.array([weight[at].sum()], np.int64)]
+    phrases, counts = [pa.array([], pa.large_string())], [np.zeros(0, np.int64)]
+    if 0 in sizes:
+        phrases.append(pa.array([""], pa.large_string()))
+        counts.append(np.array([weight[at].sum()], np.int64))
+    if frequent is not None and len(codes):
+        digests = word_digests(different)[codes, 0]
+        bits = _pair_bits(lang, digests[:-1], digests[1:], len(frequent).bit_length() + 2)
+        known = np.append((frequent[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 > 0, False)
+        at = at[(at + max(sizes) <= stop[at])]
+        for step in range(max(sizes) - 1):
+            at = at[known[at + step]]
+    different = different.cast(pa.large_string())
     texts, prefix = None, np.zeros(len(codes), np.int64)
-    for n in range(1, MOST_WORDS + 1):
+    for n in range(1, max(sizes) + 1):
         at = at[at + n <= stop[at]]
-        last = codes[at + n - 1]
-        keys, sums, number = _weighted(prefix[at] << 32 | last, weight[at])
+        keys, sums, number = _weighted(prefix[at] << 32 | codes[at + n - 1], weight[at])
         word = different.take(pa.array(keys & 0xFFFFFFFF))
         texts = word if texts is None else pc.binary_join_element_wise(texts.take(pa.array(keys >> 32)), word, pa.scalar(" ", pa.large_string()))
         prefix[at] = number
-        phrases.append(texts)
-        counts.append(sums)
+        if n in sizes:
+            phrases.append(texts)
+            counts.append(sums)
     return pa.concat_arrays(phrases), np.concatenate(counts)
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[pa.RecordBatch] = []
-    size = 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks()
-        for lang in pc.unique(table.column("lang")):
-            some = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
-            columns = [some.column(n).chunk(0) for n in ("chunk", "final", "n")]
-            phrases, counts = chunk_phrases(columns[0], columns[1].to_numpy(zero_copy_only=False), columns[2].to_numpy())
-            for a in range(0, len(phrases), 1 << 17):
-                part = phrases.slice(a, 1 << 17).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(part), pa.string()), part, pa.array(counts[a : a + (1 << 17)])], ["lang", "phrase", "f"])
-
-    for batch in batches:
-        if len(batch):
-            held.append(batch)
-            size += batch.nbytes
-        if size >= PARSE_BYTES:
+def _counts(sizes: tuple[int, ...], frequent: Broadcast | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            for lang in pc.unique(table.column("lang")).to_pylist():
+                some = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+                chunks, final, n = (some.column(name).chunk(0) for name in ("chunk", "final", "n"))
+                known = None if frequent is None else frequent.value
+                phrases, counts = chunk_phrases(chunks, final.to_numpy(zero_copy_only=False), n.to_numpy(), sizes, lang, known)
+                for a in range(0, len(phrases), 1 << 17):
+                    part = phrases.slice(a, 1 << 17).cast(pa.string())
+                    columns = [pa.array([lang] * len(part), pa.string()), part, pa.array(counts[a : a + (1 << 17)])]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+                size += batch.nbytes
+            if size >= PARSE_BYTES:
+                yield from out()
+                held.clear()
+                size = 0
+        if held:
             yield from out()
-            held.clear()
-            size = 0
-    if held:
-        yield from out()
 
+    return run
+
+
+def _bits_of_pairs(size: int):
+    """(place of 64 bits in the map, those bits) of the pairs of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang in pc.unique(batch.column(0)).to_pylist():
+                pairs = batch.column(1).filter(pc.equal(batch.column(0), lang))
+                codes, _, different, _ = _chunk_words(pairs)
+                digests = word_digests(different)[codes, 0]
+                bits = _pair_bits(lang, digests[::2], digests[1::2], size)
+                masks = np.uint64(1) << (bits & np.uint64(63))
+                yield pa.RecordBatch.from_arrays([pa.array((bits >> np.uint64(6)).astype(np.int32)), pa.array(masks.view(np.int64))], ["place", "bits"])
+
+    return run
+
+
+def _map_of_pairs(pairs: DataFrame, size: int) -> Broadcast:
+    """Map of 2^size bits on every executor. The driver gets one row for 64 of them at most."""
+    rows = pairs.mapInArrow(_bits_of_pairs(size), "place int, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (size - 6), np.int64)
+    words[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
+    return pairs.sparkSession.sparkContext.broadcast(words.astype("<i8").view(np.uint8))
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", chunk: int = CHUNK) -> DataFrame:
-    """(lang, phrase, f) of all phrases of up to MOST_WORDS words; the empty phrase has the number of all words.
+
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", chunk: int = CHUNK, least: int = 1, map_bits: int = MAP_BITS) -> DataFrame:
+    """(lang, phrase, f) of the phrases of up to MOST_WORDS words that occur `least` times; the empty phrase has the number
+    of all words.
 
     Texts are lower-cased (A-Z), split at `.,;:!?` and line ends into pieces, and parsed into chunks that overlap in
     OVERLAP words. The parse is counted: one row for each different chunk of a language. Phrases are counted inside the
-    different chunks, weighted by their frequency. Both counts are partial before each shuffle.
+    different chunks, weighted by their frequency; both counts are partial before each shuffle. Where `least` is more
+    than 1, words and pairs are counted first, and of the triples only those whose pairs may both be so frequent, by a map
+    of bits without false negatives.
     """
     words = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
     parsed = words.mapInArrow(_chunks(chunk), "lang string, chunk string, final boolean")
-    dictionary = parsed.groupBy("lang", "chunk", "final").agg(F.count("*").alias("n"))
-    counted = dictionary.mapInArrow(_counts, "lang string, phrase string, f bigint")
-    return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    dictionary = stored(parsed.groupBy("lang", "chunk", "final").agg(F.count("*").alias("n")), "chunks")
+    free_shuffles(docs.sparkSession)
+
+    def counted(sizes: tuple[int, ...], frequent: Broadcast | None = None) -> DataFrame:
+        rows = dictionary.mapInArrow(_counts(sizes, frequent), "lang string, phrase string, f bigint")
+        return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+
+    if least <= 1:
+        return counted(tuple(range(MOST_WORDS + 1)))
+    short = stored(counted(tuple(range(MOST_WORDS))), "phrases")
+    free_shuffles(docs.sparkSession)
+    frequent = _map_of_pairs(short.filter(F.size(F.split("phrase", " ")) == MOST_WORDS - 1).select("lang", "phrase"), map_bits)
+    return short.unionByName(counted((MOST_WORDS,), frequent))
 
 
 def _part(first: int, n: int | None = None):
@@ -197,7 +267,7 @@ def collocations(
     empty table, or one without frequent phrases, gives no rows. Products are decimals of 38 digits, exact for counts up
     to 10^16. The best are taken from SALTS parts of a language first, so that no task sees all of its phrases.
     """
-    counts = stored(phrase_counts(docs, text, lang).filter(F.col("f") >= least), "phrases")
+    counts = stored(phrase_counts(docs, text, lang, CHUNK, least).filter(F.col("f") >= least), "phrases")
     size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     sized = counts.withColumn("size", size)
     known = sized.filter("size between 1 and 2").select("lang", F.col("phrase").alias("part"), F.col("f").alias("of"))

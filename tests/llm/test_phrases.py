@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gaugework.llm import phrases
@@ -64,6 +65,27 @@ def test_counts_against_brute_force(spark, chunk):
     assert {k: v for k, v in got.items() if v} == want
 
 
+@pytest.mark.parametrize(("bits", "least"), [(27, 4), (27, 2), (9, 4)])
+def test_counts_of_frequent_phrases(spark, bits, least):
+    """Triples are left out by the map of frequent pairs; a map that is nearly full leaves out none too many."""
+    rows = texts(bits, 120)
+    docs = spark.createDataFrame([(t, k) for k, t in rows], "text string, lang string")
+    got = {(r.lang, r.phrase): r.f for r in phrases.phrase_counts(docs, least=least, map_bits=bits).collect()}
+    assert got == {(k, p): n for k, f in brute_counts(rows).items() for p, n in f.items() if n >= least}
+
+
+def test_fewer_triples_are_counted():
+    chunks = pa.array(["a b c", "a b d e"])
+    weights, final = np.array([3, 5]), np.array([True, True])
+    bits = np.zeros(1 << (phrases.MAP_BITS - 3), np.uint8)
+    digest = lambda w: phrases.word_digests(pa.array([w.encode()]))[:, 0]
+    for one, two in ("ab", "bd"):
+        place = int(phrases._pair_bits("en", digest(one), digest(two), phrases.MAP_BITS)[0])
+        bits[place >> 3] |= 1 << (place & 7)
+    found, counts = phrases.chunk_phrases(chunks, final, weights, (3,), "en", bits)
+    assert dict(zip(found.to_pylist(), counts.tolist(), strict=True)) == {"a b d": 5}
+
+
 @pytest.mark.parametrize(("least", "percent", "best"), [(10, 50, 2000), (3, 80, 7), (2, 10, 50)])
 def test_collocations_against_brute_force(spark, least, percent, best):
     rows = texts(least, 150)
