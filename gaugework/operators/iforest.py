@@ -17,6 +17,8 @@ from pyspark.sql.types import DoubleType
 from gaugework.functions.hashing import hash_key, hash_uniform
 from gaugework.operators.cumulative import quantiles
 
+#: Half the largest number, so that the distance of two such bounds is a number.
+FAR = float(np.finfo(float).max) / 2
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double"
 
 
@@ -42,7 +44,9 @@ def _grow(points: np.ndarray, seed: int, tree: int) -> list[tuple]:
             nodes[node][4] = depth + average_path(len(rows))
             continue
         col = int(rng.choice(open_cols))
-        cut = float(rng.uniform(low[col], high[col]))
+        # neighbouring numbers round a cut up to the higher one and an endless range has none: both sides must get rows
+        cut = float(rng.uniform(*np.clip((low[col], high[col]), -FAR, FAR)))
+        cut = float(min(max(cut, low[col]), np.nextafter(high[col], -np.inf)))
         goes_left = points[rows, col] <= cut
         left, right = len(nodes), len(nodes) + 1
         nodes[node][:4] = [col, cut, left, right]

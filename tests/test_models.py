@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugework.operators import models as L
 from gaugework.operators import recommend as R
-from gaugework.operators.iforest import average_path, fit_isolation_forest
+from gaugework.operators.iforest import _grow, average_path, fit_isolation_forest
 from gaugework.operators.metrics import auc, confusion, regression_metrics
 
 
@@ -60,6 +60,19 @@ def test_isolation_forest_puts_planted_outliers_first(spark):
     assert average_path(256) == pytest.approx(10.24, abs=0.01)
 
 
+@pytest.mark.parametrize(
+    "low, high", [(1.0, np.nextafter(1.0, 2.0)), (0.0, 5e-324), (-np.inf, 1.0), (1e308, np.inf), (-np.inf, np.inf), (-1.7e308, 1.7e308)]
+)
+def test_every_cut_leaves_rows_on_both_sides(low, high):
+    points = np.array([[low, 0.0], [high, 0.0], [low, 1.0]])
+    for tree in range(60):
+        nodes = {n[1]: n for n in _grow(points, 42, tree)}
+        assert sum(n[2] < 0 for n in nodes.values()) == 3
+        for _, _, feature, cut, left, right, _ in nodes.values():
+            if feature == 0:
+                assert low <= cut < high
+
+
 def test_search_and_cross_validation(spark, machines):
     df = spark.range(300).withColumns({"unit": F.col("id") % 10, "x": F.rand(4)}).withColumn("rul", 50 * F.col("x")).cache()
     best, rmse = L.search_life_params(
