@@ -18,6 +18,8 @@ from gaugework.functions.hashing import hash_bucket, hash_key
 from gaugework.operators.sizing import attach, sized
 
 ROWS_PER_SLICE = 200_000
+#: Buckets only find the positions and their rows are sorted, which spills; smaller ones would only be more of them.
+ROWS_PER_BUCKET = 50_000
 
 
 def range_buckets(spark: SparkSession) -> int:
@@ -83,22 +85,43 @@ def _before(col: str, by: list[str], order: str) -> Column:
     return F.coalesce(F.sum(col).over(w), F.lit(0))
 
 
+def _place_in_two(df: DataFrame, splits: DataFrame, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """Add `__b`, the row's bucket, and `__cut`, whether its group has splits (`__b` is 0 where it has none).
+
+    A row meets every `fine`th split point first and then the points inside that stretch, so what it is joined to has about
+    the root of the number of buckets and not their number.
+    """
+    fine = 1 << (buckets.bit_length() - 1) // 2
+    coarse, value, points = buckets // fine, F.struct(*order), F.col("__splits")
+    marks = F.transform(F.sequence(F.lit(1), F.lit(coarse - 1)), lambda i: F.element_at(points, i * fine))
+    stretch = F.transform(
+        F.sequence(F.lit(0), F.lit(coarse - 1)),
+        lambda i: F.struct(i.alias("__b"), F.slice(points, i * fine + 1, fine - 1).alias("__points")),
+    )
+    far = attach(df, splits.select(*keys, marks.alias("__marks")), keys)
+    mark = F.when(F.col("__marks").isNull(), 0).otherwise(place(value, F.col("__marks"), coarse))
+    far = far.withColumns({"__cut": F.col("__marks").isNotNull(), "__b": mark})
+    inside, _ = sized(splits.select(*keys, F.inline(stretch)))
+    near = attach(far.drop("__marks"), inside, [*keys, "__b"])
+    bucket = F.when(F.col("__cut"), F.col("__b") * fine + place(value, F.col("__points"), fine)).otherwise(0)
+    return near.withColumn("__b", bucket).drop("__points")
+
+
 def _index(df: DataFrame, keys: list[str], order: list[str], heavy: DataFrame | None, limit: int, pos: str):
     if heavy is None:
         return df.withColumn(pos, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     largest = heavy.agg(F.max("__n")).first()[0]
     buckets = 8
-    while buckets * limit < 2 * largest:  # the larger the group, the more buckets of about half the limit
+    while buckets * max(limit, ROWS_PER_BUCKET) < 2 * largest:  # the larger the group, the more buckets of about half that
         buckets *= 2
     splits, _ = sized(order_splits(attach(df, heavy, keys, "inner"), keys, order, buckets))
-    bucket = F.when(F.col("__splits").isNull(), 0).otherwise(place(F.struct(*order), F.col("__splits"), buckets))
-    placed = attach(df, splits, keys).withColumn("__b", bucket)
-    counts = placed.filter(F.col("__splits").isNotNull()).groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    placed = _place_in_two(df, splits, keys, order, buckets)
+    counts = placed.filter("__cut").groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"))
     offsets, _ = sized(counts.withColumn("__off", _before("__c", keys, "__b")).drop("__c"))
     local = F.row_number().over(W.partitionBy(*keys, "__b").orderBy(*order))
-    ranked = attach(placed.drop("__splits"), offsets, [*keys, "__b"])
+    ranked = attach(placed, offsets, [*keys, "__b"])
     ranked = ranked.withColumn(pos, (F.coalesce(F.col("__off"), F.lit(0)) + local).cast("long"))
-    return ranked.drop("__b", "__off")
+    return ranked.drop("__b", "__cut", "__off")
 
 
 def group_index(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gaugework.operators import features as X
 from gaugework.operators import metrics as M
 from gaugework.operators import sampling as P
+from gaugework.operators import ordered
 from gaugework.operators.causal import effect, placebo_effects
 from gaugework.operators.cumulative import quantiles, running_sums
 from gaugework.operators.ordered import group_index, hash_index
@@ -168,3 +169,35 @@ def test_positions_with_gaps_are_refused(spark):
     cycles = spark.range(60).selectExpr("1 AS unit", "id * 5 + 5 AS cycle", "CAST(id AS double) AS x")
     with pytest.raises(ValueError, match="without gaps"):
         rolling_features(cycles, ["x"], ["unit"], limit=20, position="cycle")
+
+
+@pytest.mark.parametrize("kind", ["id", "string", "ties"])
+def test_many_buckets_give_the_positions_and_no_row_meets_all_split_points(spark, hot, monkeypatch, kind):
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 1)
+    order = {
+        "id": [F.when(F.col("id") % 97 > 0, F.col("id") * 7 % 1999)], "string": [F.hex(F.col("id") * 7 % 1999)],
+        "ties": [F.col("id") % 3, F.when(F.col("id") > 50, F.col("id"))],
+    }[kind]
+    names = [f"o{i}" for i in range(len(order))]
+    df = spark.range(1500).withColumns(dict(zip(names, order))).withColumn("unit", F.when(F.col("id") % 10 == 0, "b").otherwise("a"))
+    names.append("id")  # the rows whose first value is null
+    met = []
+    place = ordered.place
+
+    def spy(value, splits, buckets):
+        met.append(buckets)
+        return place(value, splits, buckets)
+
+    monkeypatch.setattr(ordered, "place", spy)
+    cut = group_index(df, ["unit"], names, limit=2).select("id", "pos")
+    assert max(met) <= 64 and met[0] * met[1] == 2048
+    whole = group_index(df, ["unit"], names).select("id", "pos")
+    assert cut.exceptAll(whole).count() == 0 and cut.count() == 1500
+
+
+def test_buckets_do_not_follow_a_small_limit(spark, hot, monkeypatch):
+    met = []
+    place = ordered.place
+    monkeypatch.setattr(ordered, "place", lambda value, splits, buckets: met.append(buckets) or place(value, splits, buckets))
+    assert group_index(hot, [], ["x"], limit=2).agg(F.max("pos")).first()[0] == hot.count()
+    assert met[0] * met[1] == 8
