@@ -12,6 +12,7 @@ from gaugework.operators.cumulative import running_sums
 from gaugework.operators.ordered import ROWS_PER_SLICE, over_groups
 from gaugework.operators.sizing import attach, attach_row, sized
 from gaugework.operators.smoothing import savgol
+from gaugework.sources.tables import write_table
 
 ENGINE_KEYS = ["dataset_id", "unit"]
 MACHINE_SENSORS = ["air_temp_c", "proc_temp_c", "rpm", "torque", "tool_wear", "power_w"]
@@ -52,9 +53,15 @@ def machine_physics(df: DataFrame, torque_max: float | None = None, rpm_max: flo
     ).drop("__torque", "__rpm")
 
 
-def machine_features(clean: DataFrame, order: str = "UDI", keys: list[str] | None = None) -> DataFrame:
-    """Physics, smoothing and min-max scaling of the clean machine table."""
+def machine_features(
+    clean: DataFrame, order: str = "UDI", keys: list[str] | None = None, store: str | None = None
+) -> DataFrame:
+    """Physics, smoothing and min-max scaling of the clean machine table.
+
+    The scaling reads its input twice; with a `store` path that is a stored table instead of the windows over again.
+    """
     df = savgol(machine_physics(clean), MACHINE_SENSORS, keys or [], [order])
+    df = write_table(df, store) if store else df
     exclude = [*MACHINE_TARGETS, "prod_type", order, *(keys or [])]
     return minmax(df, select_features(df, exclude, ("double", "bigint", "int")))
 

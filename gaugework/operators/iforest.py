@@ -17,6 +17,8 @@ from pyspark.sql.types import DoubleType
 from gaugework.functions.hashing import hash_key, hash_uniform
 from gaugework.operators.cumulative import quantiles
 
+#: Rows that take their steps together; with one tree's nodes they fit a core's cache.
+ROWS_AT_ONCE = 4096
 #: Half the largest number, so that the distance of two such bounds is a number.
 FAR = float(np.finfo(float).max) / 2
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double"
@@ -100,30 +102,33 @@ class IsolationForest:
 
     def raw_score(self) -> Column:
         """-2^(-mean depth / expected depth): lower is more unusual."""
-        # nodes of all trees in flat arrays; a leaf leads back to itself, so every row takes the same number of steps
+        # A leaf asks a column of zeros and leads back to itself, so every row takes the same number of steps. Node i has the
+        # places 2i and 2i + 1: a row on the lower side moves to what the first says, else to what the second says.
         trees, width = self.feature.shape
-        base = np.arange(trees) * width
         leaf = self.feature < 0
         here = np.arange(width)
-        feature = np.maximum(self.feature, 0).ravel()
-        cut = np.where(leaf, np.inf, self.cut).ravel()
-        left = (np.where(leaf, here, self.left) + base[:, None]).ravel()
-        right = (np.where(leaf, here, self.right) + base[:, None]).ravel()
-        path, norm, steps = self.path.ravel(), self.norm, self.steps
+        feature = np.where(leaf, len(self.cols), self.feature)
+        children = np.stack([np.where(leaf, here, self.left), np.where(leaf, here, self.right)], axis=2)
+        feature, cut, path = (np.repeat(a, 2, axis=1) for a in (feature, np.where(leaf, 0.0, self.cut), self.path))
+        children = 2 * children.reshape(trees, 2 * width)
+        norm, steps = self.norm, self.steps
 
         @F.pandas_udf(DoubleType())
         def score(batch: pd.DataFrame) -> pd.Series:
-            x = batch.to_numpy(dtype=float)
-            out = np.empty(len(x))
-            for start in range(0, len(x), 1024):
-                part = x[start : start + 1024]
-                offsets = np.arange(len(part))[:, None] * part.shape[1]
-                flat = part.ravel()
-                at = np.broadcast_to(base, (len(part), trees))
-                for _ in range(steps):
-                    below = flat.take(offsets + feature.take(at)) <= cut.take(at)
-                    at = np.where(below, left.take(at), right.take(at))
-                out[start : start + 1024] = -(2.0 ** (-path.take(at).mean(axis=1) / norm))
+            out = np.empty(len(batch))
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[start : start + ROWS_AT_ONCE].to_numpy(dtype=float)
+                n = len(part)
+                flat = np.vstack([part.T, np.zeros(n)]).ravel()
+                row = np.arange(n)
+                depths = np.empty((n, trees))
+                for tree in range(trees):
+                    starts, at = feature[tree] * n, np.zeros(n, dtype=np.int64)
+                    for _ in range(steps):
+                        lower = flat.take(starts.take(at) + row) <= cut[tree].take(at)
+                        at = children[tree].take(at + ~lower)
+                    depths[:, tree] = path[tree].take(at)
+                out[start : start + n] = -(2.0 ** (-depths.mean(axis=1) / norm))
             return pd.Series(out)
 
         return score(F.struct(*[F.col(c).cast("double").alias(c) for c in self.cols]))
@@ -171,6 +176,7 @@ def fit_isolation_forest(
     forest = IsolationForest.of(nodes, cols=cols, norm=average_path(few) or 1.0, steps=math.ceil(math.log2(max(few, 2))))
     # the quantile reads the scores several times, so they are kept until it is known
     scores = df.select(forest.raw_score().alias("score")).persist()
+    scores.count()
     forest.offset = float(quantiles(scores, ["score"], [contamination]).first()["quantile"])
     scores.unpersist()
     return forest

@@ -28,7 +28,8 @@ LIFE = {"maxIter": 500, "maxDepth": 4, "seed": 42}
 
 def _machines(spark, sf_dir):
     """Stored feature table: a fit reads its rows many times."""
-    return write_table(machine_table(A.machine_log(spark, sf_dir)), scratch_path(spark, "machine-features"))
+    table = machine_table(A.machine_log(spark, sf_dir), store=scratch_path(spark, "machine-smooth"))
+    return write_table(table, scratch_path(spark, "machine-features"))
 
 
 def _engines(spark, sf_dir):

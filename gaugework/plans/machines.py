@@ -32,11 +32,12 @@ def feature_contract(features: DataFrame) -> DataFrame:
     )
 
 
-def machine_table(raw: DataFrame, order: str = "UDI") -> DataFrame:
-    """Clean rows with scaled features; columns that reports read in real units keep a `_raw` copy."""
+def machine_table(raw: DataFrame, order: str = "UDI", store: str | None = None) -> DataFrame:
+    """Clean rows with scaled features; columns that reports read in real units keep a `_raw` copy. `store` as for
+    `machine_features`."""
     clean = clean_machines(raw)
     kept = clean.withColumns({f"{c}_raw": F.col(c).cast("string") for c in ("tool_wear", "power_w")})
-    scaled = machine_features(kept, order)
+    scaled = machine_features(kept, order, store=store)
     return scaled.withColumns({f"{c}_raw": F.col(f"{c}_raw").cast("double") for c in ("tool_wear", "power_w")})
 
 
