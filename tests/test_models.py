@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gaugework.operators import iforest
 from gaugework.operators import models as L
 from gaugework.operators import recommend as R
 from gaugework.operators.iforest import _grow, average_path, fit_isolation_forest
 from gaugework.operators.metrics import auc, confusion, regression_metrics
+from gaugework.plans.machines import machine_table
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +75,39 @@ def test_every_cut_leaves_rows_on_both_sides(low, high):
                 assert low <= cut < high
 
 
+def test_forest_scores_equal_a_walk_from_node_to_node(spark, monkeypatch):
+    monkeypatch.setattr(iforest, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 3))
+    x[3, 1], x[4, 0], x[5, 2], x[6] = np.nan, np.inf, -np.inf, np.nan
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double").coalesce(1)
+    forest = fit_isolation_forest(df.filter("id > 6"), ["a", "b", "c"], "id", trees=9)
+
+    def depth(tree, row):
+        node = 0
+        while (f := forest.feature[tree, node]) >= 0:
+            node = (forest.left if row[f] <= forest.cut[tree, node] else forest.right)[tree, node]
+        return forest.path[tree, node]
+
+    got = {r["id"]: r["s"] for r in df.select("id", forest.raw_score().alias("s")).collect()}
+    for i, row in enumerate(x):
+        assert got[i] == pytest.approx(-(2.0 ** (-np.mean([depth(t, row) for t in range(9)]) / forest.norm)), rel=1e-12)
+
+
+def test_stored_machine_features_run_the_windows_once(spark, tmp_path):
+    raw = spark.range(40).select(
+        F.col("id").alias("UDI"), F.lit("M1").alias("Product ID"), F.lit("L").alias("Type"),
+        (F.lit(295.0) + F.col("id") % 7).alias("Air temperature [K]"), (F.lit(305.0) + F.col("id") % 5).alias("Process temperature [K]"),
+        (F.lit(1200) + F.col("id") % 11).alias("Rotational speed [rpm]"), (F.lit(20.0) + F.col("id") % 13).alias("Torque [Nm]"),
+        (F.col("id") % 17).alias("Tool wear [min]"),
+        *[(F.col("id") % 9 == 0).cast("long").alias(c) for c in ("Machine failure", "TWF", "HDF", "PWF", "OSF", "RNF")],
+    )
+    stored = machine_table(raw, store=str(tmp_path / "smooth"))
+    assert "Window" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    plain = machine_table(raw)
+    assert stored.columns == plain.columns and sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_search_and_cross_validation(spark, machines):
     df = spark.range(300).withColumns({"unit": F.col("id") % 10, "x": F.rand(4)}).withColumn("rul", 50 * F.col("x")).cache()
     best, rmse = L.search_life_params(
