@@ -14,7 +14,7 @@ from gaugework.llm.packing import pack, token_pieces
 from gaugework.llm.quality_rules import keep_good
 from gaugework.llm.queries import tokenizer_path, weight_tables, with_domain
 from gaugework.llm.simhash import one_of_each
-from gaugework.session import scratch_path
+from gaugework.session import scratch_path, short_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,6 +25,7 @@ CAPACITY = 2048
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. Null and empty texts go; repeated rows are judged alike and all stay."""
+    short_batches(spark)
     return keep_good(docs)
 
 
@@ -34,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and empty texts have one fingerprint and are a group. Of rows with the smallest id one stays, of the smallest text
     hash. A null id is the smallest only in a group without others.
     """
+    short_batches(spark)
     return one_of_each(docs, shingle=3, most=2)
 
 
@@ -58,6 +60,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are the end token alone; repeated rows are packed each; a null id stays null.
     """
+    short_batches(spark)
     pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0)
     pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(pieces, pieces.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,19 @@ _MARK[[10, *_SIGNS]] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[*range(9, 14), *range(28, 33)]] = True
 _UNSURE = re.compile(r"\s (?:\s|\Z)|<\|")
+_VISIBLE = [*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The sign of each byte in a byte-level vocabulary; the line break stays what it is, to stand between words.
+_SIGN_OF = np.arange(256, dtype="<u2")
+_SIGN_OF[[b for b in range(256) if b not in _VISIBLE]] = 256 + np.arange(256 - len(_VISIBLE))
+_SIGN_OF[10] = 10
+_SPACE_SIGN = chr(_SIGN_OF[32])
 _encoders: dict[str, Encoder] = {}
 
 
+def _strings(words: pa.Array) -> list[str]:
+    return words.cast(pa.large_string()).to_numpy(zero_copy_only=False).tolist()
+
+
 class Memory:
     """Ids of strings, found by 128-bit digests of the strings in sorted arrays."""
 
@@ -41,8 +52,10 @@ class Memory:
 
     def put(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(place, number) of the ids of each string, not yet under a digest."""
-        new = np.frombuffer(b"".join(ids), "<u4")
-        size = np.array([len(x) for x in ids], np.int64) // 4
+        return self.put_flat(np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) for x in ids], np.int64) // 4)
+
+    def put_flat(self, new: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the ids of all strings one behind the other and the number of each string's."""
         if self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.empty(self.used + 2 * len(new), np.uint32)])
         self.flat[self.used : self.used + len(new)] = new
@@ -53,10 +66,12 @@ class Memory:
     def find(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, number) of the ids of each string; the number is -1 for an unknown one."""
         place, size = np.zeros(len(digests), np.int64), np.full(len(digests), -1, np.int64)
+        turn = np.argsort(digests[:, 0])  # neighbours are looked up one after the other
+        first, second = digests[turn, 0], digests[turn, 1]
         for high, low, at, n in self.runs:
-            spot = np.minimum(np.searchsorted(high, digests[:, 0]), len(high) - 1)
-            hit = (high[spot] == digests[:, 0]) & (low[spot] == digests[:, 1])
-            place[hit], size[hit] = at[spot[hit]], n[spot[hit]]
+            spot = np.minimum(np.searchsorted(high, first), len(high) - 1)
+            hit = (high[spot] == first) & (low[spot] == second)
+            place[turn[hit]], size[turn[hit]] = at[spot[hit]], n[spot[hit]]
         return place, size
 
     def add(self, digests: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
@@ -81,27 +96,58 @@ class Encoder:
     def __init__(self, path: str, chunks: int = CHUNKS, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        # words that are one piece each need no search for pieces
+        self.splitter, self.ready = self.tokenizer.pre_tokenizer, WhitespaceSplit()
+        byte_level = "ByteLevel(add_prefix_space=False" in repr(self.splitter) and "use_regex=True" in repr(self.splitter)
+        self.byte_level = byte_level and self.tokenizer.normalizer is None
+        vocabulary = self.tokenizer.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.leads[[n for name, n in vocabulary.items() if name.startswith(_SPACE_SIGN)]] = True
+        self.known: set[str] = set()
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.marks = self.whole([chr(b) for b in np.flatnonzero(_MARK)])
         self.most = chunks
         self.memory = Memory()
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """Without memory: little-endian unsigned 32-bit ids of each text."""
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _lines(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of words of letters after `lead`: encoded as the lines of one text and cut at the line breaks."""
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Without memory: (ids of all texts in turn, number of each text's)."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(ids)), np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def _one_piece(self, words: str) -> bool:
+        """Whether the tokenizer itself takes any of the letters in a row as one piece."""
+        new = set(words) - self.known
+        if new and len(self.splitter.pre_tokenize_str("".join(sorted(new)))) == 1:
+            self.known |= new
+            return True
+        return not new
+
+    def _lines(self, words: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of each word's) of words of letters after `lead`: encoded as the lines of one text.
+
+        After a space, words that are one piece each go to the model as such, in the signs of their bytes, and an id that
+        begins with the sign of the space begins a word. Others are cut at the line breaks.
+        """
         if not words:
-            return []
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         text = lead + ("\n" + lead).join(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = (np.append(np.flatnonzero(ids == self.line_break), len(ids)) * 4).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)]
+        if lead == " " and self.byte_level and self._one_piece("".join(words)):
+            signs = _SIGN_OF[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            self.tokenizer.pre_tokenizer = self.ready
+            try:
+                found = self.tokenizer.encode_batch_fast([signs], add_special_tokens=False)[0].ids
+            finally:
+                self.tokenizer.pre_tokenizer = self.splitter
+            ids = np.array(found, np.uint32)
+            return ids, np.diff(np.flatnonzero(self.leads[ids]), append=len(ids))
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        between = ids == self.line_break
+        ends = np.append(np.flatnonzero(between), len(ids))
+        return ids[~between], np.diff(ends, prepend=-1) - 1
 
     def _places(self, strings: list[str], lead: str, letters: bool) -> tuple[np.ndarray, np.ndarray]:
         """(place, number) of the ids of `lead` and each of the different strings."""
@@ -112,8 +158,8 @@ class Encoder:
         place, size = self.memory.find(digests)
         new = np.flatnonzero(size < 0)
         unknown = [strings[i] for i in new.tolist()]
-        ids = self._lines(unknown, lead) if letters else self.whole([lead + s for s in unknown])
-        place[new], size[new] = self.memory.put(ids)
+        ids, number = self._lines(unknown, lead) if letters else self.whole([lead + s for s in unknown])
+        place[new], size[new] = self.memory.put_flat(ids, number)
         self.memory.add(digests[new], place[new], size[new])
         return place, size
 
@@ -160,8 +206,8 @@ class Encoder:
         open_end = plain & ~_MARK[data[np.maximum(stop - 1, 0)]] if len(data) else plain
         word_end = np.sort(np.concatenate([mark[here & ends_word], stop[open_end]]), kind="stable")
         codes, different = word_codes(data, word, word_end)
-        names = different.cast(pa.large_string()).to_pylist()
-        letters = np.array([w.isalpha() for w in names], bool)
+        names = _strings(different)
+        letters = np.fromiter(map(str.isalpha, names), bool, len(names))
         word_chunk = np.searchsorted(start, word, "right") - 1
         plain[word_chunk[~letters[codes]]] = False
         used = plain[word_chunk]
@@ -191,7 +237,7 @@ class Encoder:
         other = np.flatnonzero(sure & ~plain)
         filled = other[stop[other] > start[other]]
         code, different = word_codes(data, start[filled], stop[filled])
-        names = [*different.cast(pa.large_string()).to_pylist(), ""]
+        names = [*_strings(different), ""]
         all_codes = np.full(len(start), len(names) - 1)
         all_codes[filled] = code
         for lead, some in ((" ", other[~first[other]]), ("", other[first[other] & (stop[other] > start[other])])):
@@ -199,11 +245,11 @@ class Encoder:
         remembered = self.memory.used
         whole = np.flatnonzero(unsure)
         texts = [data[offsets[d] : offsets[d + 1]].tobytes().decode() for d in whole.tolist()]
-        take(self.memory.put(self.whole(texts)), whole, 2 * offsets[whole], np.arange(len(whole)))
-        take(self.memory.put(self.marks), np.searchsorted(offsets, mark, "right") - 1, 2 * mark, (np.cumsum(_MARK) - 1)[data[mark]])
+        take(self.memory.put_flat(*self.whole(texts)), whole, 2 * offsets[whole], np.arange(len(whole)))
+        take(self.memory.put_flat(*self.marks), np.searchsorted(offsets, mark, "right") - 1, 2 * mark, (np.cumsum(_MARK) - 1)[data[mark]])
         if end is not None:
             every = np.arange(docs)
-            take(self.memory.put([np.array([end], "<u4").tobytes()]), every, 2 * offsets[1:] + 1, np.zeros(docs, np.int64))
+            take(self.memory.put_flat(np.array([end], np.uint32), np.array([1])), every, 2 * offsets[1:] + 1, np.zeros(docs, np.int64))
 
         of, at, entry = (np.concatenate(x) for x in zip(*events, strict=True))
         turn = np.argsort(of << 40 | at, kind="stable")

@@ -3,8 +3,10 @@ import zlib
 from collections import defaultdict
 from math import ceil
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -148,3 +150,57 @@ def test_memory_of_strings():
         for (a, n), wanted in zip(zip(*memory.find(asked), strict=True), [*known.values(), None], strict=True):
             assert n == -1 if wanted is None else memory.flat[a : a + n].tobytes() == wanted
     assert memory.strings == len(known) and len(memory.runs) < 12
+
+
+class _Watched:
+    """A tokenizer that notes how many texts it encodes with its search for pieces and without."""
+
+    def __init__(self, inner):
+        self.__dict__.update(inner=inner, searched=0, ready=0)
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def __setattr__(self, name, value):
+        setattr(self.inner, name, value)
+
+    def encode_batch_fast(self, texts, **more):
+        size = sum(map(len, texts))
+        self.__dict__["searched" if "ByteLevel" in repr(self.inner.pre_tokenizer) else "ready"] += size
+        return self.inner.encode_batch_fast(texts, **more)
+
+
+def test_words_of_letters_need_no_search_for_pieces():
+    coder = bpe.Encoder(PATH, special_as_text=False)
+    coder.tokenizer = _Watched(coder.tokenizer)
+    plain = Tokenizer.from_file(PATH)
+    texts = [
+        "the " + " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(600)).replace("0", ""),
+        "Ж Übergrößen élan naïve 日本語 مرحبا ǅ ª", "a x1 don't o'clock, b\nc d<|endoftext|> e", "",
+    ]
+    for text, ids in zip(texts, coder.ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert coder.tokenizer.ready > 4000 and coder.tokenizer.searched < 200
+    assert "ByteLevel" in repr(coder.tokenizer.pre_tokenizer)
+
+
+def test_every_letter_in_a_word_is_encoded_as_by_the_library():
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    texts = [" ".join(f"a{c}b {c}" for c in letters[i : i + 2000]) for i in range(0, len(letters), 2000)]
+    plain = Tokenizer.from_file(PATH).encode_batch_fast(texts, add_special_tokens=False)
+    got = bpe.Encoder(PATH, special_as_text=False).ids(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids for e in plain]
+
+
+def test_batches_of_long_texts_end_early(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(40).coalesce(1).selectExpr("id AS doc_id", "repeat('ab ', 200000) AS text", "'en' AS lang", "'s' AS source")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    largest = lambda: max(r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect())
+    assert largest() > 20_000_000
+    corpus_pipeline.packing(spark, docs.limit(0), "")
+    assert largest() < 6_000_000
