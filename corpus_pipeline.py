@@ -21,6 +21,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Share of the tokens that the mix takes; each document at most once.
 SHARE, EPOCHS, SEED = 0.8, 1.0, 17
 CAPACITY = 2048
+#: Words whose ids a worker remembers, and bytes of texts that it encodes at once. Workers serve all stages and keep what they
+#: have, so in the pipeline they keep less than the operator alone does.
+REMEMBERED, SLICE_BYTES = 150_000, 1 << 18
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +64,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are the end token alone; repeated rows are packed each; a null id stays null.
     """
     short_batches(spark)
-    pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0)
+    pieces = token_pieces(docs, tokenizer_path(), CAPACITY, 0, remembered=REMEMBERED, slice_bytes=SLICE_BYTES)
     pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(pieces, pieces.count(), ["doc_id", "piece", "start", "ids_crc32"], CAPACITY)
 

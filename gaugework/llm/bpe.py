@@ -35,7 +35,7 @@ _SIGN_OF = np.arange(256, dtype="<u2")
 _SIGN_OF[[b for b in range(256) if b not in _VISIBLE]] = 256 + np.arange(256 - len(_VISIBLE))
 _SIGN_OF[10] = 10
 _SPACE_SIGN = chr(_SIGN_OF[32])
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int, int], Encoder] = {}
 
 
 def _strings(words: pa.Array) -> list[str]:
@@ -93,7 +93,7 @@ class Encoder:
     library's default.
     """
 
-    def __init__(self, path: str, chunks: int = CHUNKS, special_as_text: bool = True):
+    def __init__(self, path: str, chunks: int = CHUNKS, special_as_text: bool = True, slice_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
@@ -110,7 +110,7 @@ class Encoder:
         self.known: set[str] = set()
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.marks = self.whole([chr(b) for b in np.flatnonzero(_MARK)])
-        self.most = chunks
+        self.most, self.slice_bytes = chunks, slice_bytes or SLICE
         self.memory = Memory()
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +265,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) of consecutive whole texts, each followed by the id `end`; a null or empty text has no others."""
-        for data, offsets in slices(texts, SLICE):
+        for data, offsets in slices(texts, self.slice_bytes):
             yield self._slice(data, offsets, end)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
@@ -277,8 +277,9 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process and file, with the library's default for special tokens."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path, special_as_text=False)
-    return _encoders[path]
+def encoder(path: str, chunks: int = CHUNKS, slice_bytes: int = SLICE) -> Encoder:
+    """One for each worker process, file and bounds of its memory, with the library's default for special tokens."""
+    key = path, chunks, slice_bytes
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, chunks, special_as_text=False, slice_bytes=slice_bytes)
+    return _encoders[key]

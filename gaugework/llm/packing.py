@@ -11,16 +11,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.bpe import encoder
+from gaugework.llm.bpe import CHUNKS, SLICE, encoder
 
 CAPACITY = 2048
 OPEN_BINS = 4096
 PIECES_PER_TASK = 50_000
 
 
-def _cut(path: str, capacity: int, end_id: int):
+def _cut(path: str, capacity: int, end_id: int, remembered: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = encoder(path, remembered, slice_bytes)
         for batch in batches:
             at = 0
             for ids, offsets in coder.encode(batch.column(1), end_id):
@@ -40,15 +40,20 @@ def _cut(path: str, capacity: int, end_id: int):
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id: str = "doc_id", text: str = "text",
+    remembered: int = CHUNKS, slice_bytes: int = SLICE,
+) -> DataFrame:
     """Pieces of at most `capacity` tokens: id, piece, start, length, ids (little-endian unsigned 32-bit).
 
     A document is the ids of its whole text and `end_id`; a null or empty text is the end id alone. Only longer documents
     are cut, so that all pieces but the first are full. Repeated rows give their pieces again; other columns are left out.
+    A worker keeps the ids of up to `remembered` words and works on `slice_bytes` of texts at once, or on one longer text;
+    less of either takes less memory and more time for the same pieces.
     """
     kind = docs.schema[id].dataType.simpleString()
     narrow = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    pieces = narrow.mapInArrow(_cut(tokenizer, capacity, end_id), f"id {kind}, piece int, start bigint, length bigint, ids binary")
+    pieces = narrow.mapInArrow(_cut(tokenizer, capacity, end_id, remembered, slice_bytes), f"id {kind}, piece int, start bigint, length bigint, ids binary")
     return pieces.withColumnRenamed("id", id)
 
 

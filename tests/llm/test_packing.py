@@ -138,6 +138,20 @@ def test_long_texts_without_spaces_and_many_slices(plain, monkeypatch):
         assert [ids_of(x) for x in coder.ids(texts)] == [plain(t) for t in texts]
 
 
+def test_bounded_memory_gives_the_same_pieces(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(40)] + [None, "", "x" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    wanted = sorted(map(str, token_pieces(docs, PATH, 50).collect()))
+    assert sorted(map(str, token_pieces(docs, PATH, 50, remembered=30, slice_bytes=200).collect())) == wanted
+    coder = bpe.encoder(PATH, 30, 200)
+    sizes = []
+    for _ in coder.encode(pa.array(texts, pa.large_string())):
+        sizes.append(coder.memory.strings)
+    assert max(sizes) <= 30 and len(sizes) > 20
+    assert bpe.encoder(PATH) is not coder and bpe.encoder(PATH).most == bpe.CHUNKS
+
+
 def test_memory_of_strings():
     rng = np.random.default_rng(4)
     memory, known = bpe.Memory(), {}
