@@ -152,6 +152,28 @@ def test_all_folds_and_draws_read_vectors_made_once(spark, machines, monkeypatch
     assert _persisted(spark) <= before
 
 
+def test_rounds_of_a_draw_count_and_the_best_is_fitted_with_all_of_them(spark, monkeypatch):
+    asked = []
+    fit = L._fit_boosting
+    monkeypatch.setattr(L, "_fit_boosting", lambda points, *a, **p: asked.append(p["maxIter"]) or fit(points, *a, **p))
+    df = spark.range(300).withColumns({"unit": F.col("id") % 10, "x": F.rand(4)}).withColumn("rul", 50 * F.col("x")).coalesce(1).cache()
+    own = iter([4, 5])
+    draw = lambda rng: {"maxIter": next(own), "maxDepth": 2, "stepSize": 0.1}
+    best, rmse = L.search_life_params(df, ["x"], ["unit"], trials=2, draw=draw, rounds=[1, 2])
+    assert sorted(asked) == [1, 1, 2, best["maxIter"]]
+    # by parts of its own rounds the longer fit is ahead from the first step on
+    assert L.PARTS_OF_ROUNDS[-1] == 1
+    monkeypatch.setattr(L, "PARTS_OF_ROUNDS", [3, 1])
+    asked.clear()
+    own = iter([3, 6])
+    best, rmse = L.search_life_params(df, ["x"], ["unit"], trials=2, draw=draw)
+    assert best["maxIter"] == 6 and sorted(asked) == [1, 2, 6]
+    split = L.group_holdout(df, ["unit"], 0.2, 42, "held").cache()
+    model = L.fit_life_regressor(split.filter("not held"), ["x"], maxDepth=2, stepSize=0.1, maxIter=6)
+    full = regression_metrics(L.score_life(model, split.filter("held"), None), "rul", "predicted_rul").first()["rmse"]
+    assert rmse == pytest.approx(full, rel=1e-6)
+
+
 def test_audit(spark):
     df = spark.createDataFrame([(29.0, 0, 0.1), (250.0, 0, 0.2), (100.0, 1, -0.1)], "predicted_rul double, is_anomaly int, anomaly_score double")
     rows = L.audit(df).collect()
