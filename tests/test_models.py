@@ -174,6 +174,31 @@ def test_rounds_of_a_draw_count_and_the_best_is_fitted_with_all_of_them(spark, m
     assert rmse == pytest.approx(full, rel=1e-6)
 
 
+def test_search_reads_even_parts_from_disk(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_A_TASK", (50, 10))
+    df = spark.range(300).withColumns({"unit": F.least("id", F.lit(9)), "x": F.rand(4)}).withColumn("rul", 50 * F.col("x")).coalesce(1).cache()
+    df.count()
+    before = _persisted(spark)
+    seen = []
+    fit = L._fit_boosting
+
+    def watched(points, *args, **params):
+        made = spark.sparkContext._jsc.getPersistentRDDs()
+        levels = [made[i].getStorageLevel() for i in set(made) - before]
+        seen.append((points.rdd.glom().map(len).collect(), any(x.useDisk() and not x.useMemory() for x in levels)))
+        return fit(points, *args, **params)
+
+    monkeypatch.setattr(L, "_fit_boosting", watched)
+    draw = lambda rng: {"maxIter": 1, "maxDepth": 2, "subsamplingRate": 0.7}
+    first = L.search_life_params(df, ["x"], ["unit"], trials=1, draw=draw, rounds=[1])
+    (sizes, on_disk), = seen
+    assert on_disk and max(sizes) <= 50 and len(sizes) == 8
+    assert L.search_life_params(df, ["x"], ["unit"], trials=1, draw=draw, rounds=[1]) == first
+    monkeypatch.setattr(L, "ROWS_A_TASK", (1000, 400))
+    L.search_life_params(df, ["x"], ["unit"], trials=1, draw=draw, rounds=[1])
+    assert len(seen[-1][0]) == 1
+
+
 def test_audit(spark):
     df = spark.createDataFrame([(29.0, 0, 0.1), (250.0, 0, 0.2), (100.0, 1, -0.1)], "predicted_rul double, is_anomaly int, anomaly_score double")
     rows = L.audit(df).collect()
